@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jurisdiff.functions.codes import norm_code
 from jurisdiff.llm.garbled import PairModel, find_garbled
+from jurisdiff.llm.lookalike import alike_pairs
 
 
 def _updates(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/updates.parquet")
 
 
+def _pair_model(u: DataFrame) -> PairModel:
+    return PairModel.fit(u.select("title").unionByName(u.select(F.col("summary.what").alias("title"))))
+
+
 def garbled_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged titles and summaries of updates, with what could be restored."""
     u = _updates(spark, sf)
-    texts = u.select("title").unionByName(u.select(F.col("summary.what").alias("title")))
-    return find_garbled(u, "row_key", {"title": "title", "summary.what": "summary.what"}, PairModel.fit(texts))
+    return find_garbled(u, "row_key", {"title": "title", "summary.what": "summary.what"}, _pair_model(u))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,5 +34,13 @@ def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
     return garbled_fields(spark, sf).withColumnRenamed("key", "row_key")
 
 
-QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored}
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """field, row_key_a, row_key_b: labels or titles of one country that differ but read the same; damaged titles take no part."""
+    u = _updates(spark, sf)
+    damaged = find_garbled(u, "row_key", {"title": "title"}, _pair_model(u)).select(F.col("key").alias("row_key"))
+    of = lambda df, c: df.select(F.lit(c).alias("field"), norm_code(F.col("country")).alias("grp"), "row_key", F.col(c).alias("text"))
+    return alike_pairs(of(u, "canonical_event").unionByName(of(u.join(damaged, "row_key", "left_anti"), "title")))
+
+
+QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found}
 ORACLES: dict[str, str] = {}
