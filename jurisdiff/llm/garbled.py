@@ -195,7 +195,7 @@ def _decoded_prefix(data: bytes, right: str) -> str:
         text = data.decode(right)
     except UnicodeDecodeError as e:
         text = data[: e.start].decode(right)
-    bad = RESIDUE.search(text)
+    bad = None if right == "utf-8" else RESIDUE.search(text)
     return text[: bad.start()] if bad else text
 
 
@@ -254,9 +254,12 @@ def _again(decoded: str, reader: str) -> str:
         return decoded
     m = _byte_of(reader)
     try:
-        return bytes(ord(c) if c < "\x80" else m[c] for c in decoded).decode("utf-8")
-    except (KeyError, UnicodeDecodeError):
+        data = bytes(ord(c) if c < "\x80" else m[c] for c in decoded)
+        return data.decode("utf-8")
+    except KeyError:
         return decoded
+    except UnicodeDecodeError as e:  # a byte a character, so the place in the bytes is the place in the text
+        return data[: e.start].decode("utf-8") + decoded[e.start :]
 
 
 def _shows(s: str, reader: str, right: str) -> bool:
@@ -297,7 +300,7 @@ def restore(s: str, model: PairModel) -> tuple[str, list[tuple[int, int]], bool]
                 continue
             for x, y, decoded in _stretches(s, a, b, reader, right):
                 x, y, decoded = _core(s, x, y, _again(decoded, reader) if right == "utf-8" else decoded)
-                if not decoded or right != "utf-8" and len(decoded) < 3:
+                if not decoded or right != "utf-8" and len(decoded) < 3 or len(RESIDUE.findall(decoded)) > len(decoded) // 4:
                     continue
                 pre, post = s[x - 1 : x] if x else "\0", s[y : y + 1] or "\0"
                 pre = "" if RESIDUE.match(pre) or pre in _ENDS else pre

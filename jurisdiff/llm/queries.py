@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jurisdiff.functions.codes import norm_code
+from jurisdiff.llm.events import learn_glossary, read_events
 from jurisdiff.llm.garbled import PairModel, find_garbled
 from jurisdiff.llm.lookalike import alike_pairs
+from jurisdiff.llm.pivots import Metric, event_points, repeated_in_batches
+from jurisdiff.session import materialize
 
 
 def _updates(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,5 +45,13 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return alike_pairs(of(u, "canonical_event").unionByName(of(u.join(damaged, "row_key", "left_anti"), "title")))
 
 
-QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found}
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """row_key_a, row_key_b: rows of the weekly batches and the first row that reports their event."""
+    u = _updates(spark, sf).select("row_key", "batch_no", norm_code(F.col("country")).alias("country"), F.col("canonical_event").alias("label"), "title")
+    glossary = learn_glossary(u)
+    read = read_events(u, ["row_key", "batch_no", "country"], glossary, PairModel.fit(u.select("title")))
+    return repeated_in_batches(materialize(event_points(read), "points"), Metric(glossary))
+
+
+QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found}
 ORACLES: dict[str, str] = {}
