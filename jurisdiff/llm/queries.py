@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jurisdiff.functions.codes import norm_code
 from jurisdiff.llm.events import learn_glossary, read_events
 from jurisdiff.llm.garbled import PairModel, find_garbled
+from jurisdiff.llm.leaks import find_leaks
 from jurisdiff.llm.lookalike import alike_pairs
 from jurisdiff.llm.pivots import Metric, event_points, repeated_in_batches
 from jurisdiff.session import materialize
@@ -53,5 +54,14 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return repeated_in_batches(materialize(event_points(read), "points"), Metric(glossary))
 
 
-QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found}
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, item_id: documents that hold an evaluation item or a long passage of it."""
+    return find_leaks(_documents(spark, sf), "doc_id", "text", spark.read.parquet(f"{sf}/eval_items.parquet"), "item_id", "text").select("doc_id", "item_id")
+
+
+QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found}
 ORACLES: dict[str, str] = {}
