@@ -10,7 +10,9 @@ from jurisdiff.llm.events import learn_glossary, read_events
 from jurisdiff.llm.garbled import PairModel, find_garbled
 from jurisdiff.llm.leaks import find_leaks
 from jurisdiff.llm.lookalike import alike_pairs
+from jurisdiff.llm.packing import pack_documents, token_sizes
 from jurisdiff.llm.pivots import Metric, event_points, repeated_in_batches
+from jurisdiff.llm.splitting import split_documents
 from jurisdiff.session import materialize
 
 
@@ -63,5 +65,15 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(_documents(spark, sf), "doc_id", "text", spark.read.parquet(f"{sf}/eval_items.parquet"), "item_id", "text").select("doc_id", "item_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found}
+def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document, or part of an oversized one, with its container of 4,096 tokens."""
+    return pack_documents(token_sizes(_documents(spark, sf), "doc_id", "text"))
+
+
+def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """The pieces of at most 512 tokens of every longer document, each with 32 tokens of the one before."""
+    return split_documents(_documents(spark, sf), "doc_id", "text")
+
+
+QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found, "p7_packing": p7_packing, "p8_found": p8_found, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}
