@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from jurisdiff.functions.codes import BLANKS, trim_blanks
 from jurisdiff.functions.values import BODY_CHARS, LABEL_CHARS, SNIPPET_CHARS
@@ -40,7 +41,7 @@ def article_body(c: Column) -> Column:
     return F.substring(strip_html(c), 1, BODY_CHARS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda s: unicodedata.normalize("NFKC", s) if isinstance(s, str) else None)
 

@@ -18,6 +18,7 @@ HEAVY_SHARE = 0.02
 BROADCAST_ROWS = 100_000
 
 GROUP = ["src_table", "field", "dim", "key", "month"]
+_REF, _DIM = ["src_table", "field", "dim", "key", "at", "row_key"], ["dim", "key", "valid_from", "valid_to"]
 
 
 def period_verdicts(refs: DataFrame, dims: DataFrame) -> DataFrame:
@@ -28,13 +29,13 @@ def period_verdicts(refs: DataFrame, dims: DataFrame) -> DataFrame:
     periods a key, repeated and overlapping ones included. References without a
     key are none; references without a time are orphans.
     """
-    refs = refs.where("key is not null").withColumn("month", F.date_format("at", "yyyy-MM"))
+    refs = refs.select(*_REF).where("key is not null").withColumn("month", F.date_format("at", "yyyy-MM"))
     per = refs.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
     per_key = per.groupBy("dim", "key").agg(F.sum("n").alias("kn"))
     total = per_key.agg(F.sum("kn").alias("total"))
     heavy = per_key.join(F.broadcast(total), F.col("kn") >= F.col("total") * HEAVY_SHARE).select("dim", "key", F.lit(True).alias("heavy"))  # at most 1 / HEAVY_SHARE rows
     flagged = per.join(F.broadcast(heavy), ["dim", "key"], "left")
-    dims = dims.distinct()
+    dims = dims.select(*_DIM).where("key is not null").distinct()
     small = dims.count() <= BROADCAST_ROWS
     heavy_dims = dims.join(F.broadcast(heavy), ["dim", "key"], "left_semi")
 
@@ -57,10 +58,10 @@ def period_verdicts(refs: DataFrame, dims: DataFrame) -> DataFrame:
 
 def _settled(refs: DataFrame, verdicts: DataFrame, dims: DataFrame) -> DataFrame:
     """The orphan references themselves; only keys and months with orphans are joined."""
-    refs = refs.where("key is not null").withColumn("month", F.date_format("at", "yyyy-MM"))
+    refs = refs.select(*_REF).where("key is not null").withColumn("month", F.date_format("at", "yyyy-MM"))
     suspects = verdicts.where("verdict <> 'held'").drop("n").withColumn("month", F.coalesce("month", F.lit("")))
     hit = refs.withColumn("month", F.coalesce("month", F.lit(""))).join(suspects, GROUP)
-    d = dims.distinct().select("dim", "key", "valid_from", "valid_to")
+    d = dims.select(*_DIM).distinct()
     live = (F.col("r.dim") == F.col("d.dim")) & (F.col("r.key") == F.col("d.key")) & (F.col("d.valid_from").isNull() | (F.col("d.valid_from") <= F.col("r.at"))) & (F.col("d.valid_to").isNull() | (F.col("r.at") < F.col("d.valid_to")))
     mixed = hit.where("verdict = 'mixed'").alias("r").join(d.alias("d"), live, "left_anti")
     return hit.where("verdict = 'orphan'").unionByName(mixed)
