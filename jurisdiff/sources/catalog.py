@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,8 +138,6 @@ def feed_items(spark: SparkSession, path: str, row_tag: str = "item") -> DataFra
 
 def decode_pages(pages: DataFrame, charset: Column) -> DataFrame:
     """pages with ``text``: the bytes of ``body`` decoded; an unknown character set is read as UTF-8, bad bytes as replacement characters."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(body: pd.Series, name: pd.Series) -> pd.Series:
         def one(b, n):
