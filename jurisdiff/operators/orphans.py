@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jurisdiff.session import materialize
+
 #: A key is heavy if it holds this share of all references; there are at most 1 / HEAVY_SHARE such keys.
 HEAVY_SHARE = 0.02
 #: Reference records are broadcast only if there are at most this many of them (24 bytes and the key each).
@@ -30,7 +32,8 @@ def period_verdicts(refs: DataFrame, dims: DataFrame) -> DataFrame:
     key are none; references without a time are orphans.
     """
     refs = refs.select(*_REF).where("key is not null").withColumn("month", F.date_format("at", "yyyy-MM"))
-    per = refs.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    # Read again by every branch below, and small: it is stored, so that the references are normalised once.
+    per = materialize(refs.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")), "references")
     per_key = per.groupBy("dim", "key").agg(F.sum("n").alias("kn"))
     total = per_key.agg(F.sum("kn").alias("total"))
     heavy = per_key.join(F.broadcast(total), F.col("kn") >= F.col("total") * HEAVY_SHARE).select("dim", "key", F.lit(True).alias("heavy"))  # at most 1 / HEAVY_SHARE rows
@@ -53,7 +56,7 @@ def period_verdicts(refs: DataFrame, dims: DataFrame) -> DataFrame:
     light = judged(flagged.where("heavy is null"), dims)
     heavies = judged(flagged.where("heavy"), F.broadcast(heavy_dims) if small else heavy_dims)
     verdict = F.when(F.col("covered"), "held").when(F.col("touched"), "mixed").otherwise("orphan")
-    return heavies.unionByName(light).select(*GROUP, "n", verdict.alias("verdict"))
+    return materialize(heavies.unionByName(light).select(*GROUP, "n", verdict.alias("verdict")), "verdicts")
 
 
 def _settled(refs: DataFrame, verdicts: DataFrame, dims: DataFrame) -> DataFrame:
