@@ -65,9 +65,9 @@ def _settled(refs: DataFrame, verdicts: DataFrame, dims: DataFrame) -> DataFrame
     suspects = verdicts.where("verdict <> 'held'").drop("n").withColumn("month", F.coalesce("month", F.lit("")))
     hit = refs.withColumn("month", F.coalesce("month", F.lit(""))).join(suspects, GROUP)
     d = dims.select(*_DIM).distinct()
-    live = (F.col("r.dim") == F.col("d.dim")) & (F.col("r.key") == F.col("d.key")) & (F.col("d.valid_from").isNull() | (F.col("d.valid_from") <= F.col("r.at"))) & (F.col("d.valid_to").isNull() | (F.col("r.at") < F.col("d.valid_to")))
-    mixed = hit.where("verdict = 'mixed'").alias("r").join(d.alias("d"), live, "left_anti")
-    return hit.where("verdict = 'orphan'").unionByName(mixed)
+    # Orphan months match nothing and stay; in mixed months the references that hold drop out.
+    live = (F.col("r.verdict") == "mixed") & (F.col("r.dim") == F.col("d.dim")) & (F.col("r.key") == F.col("d.key")) & (F.col("d.valid_from").isNull() | (F.col("d.valid_from") <= F.col("r.at"))) & (F.col("d.valid_to").isNull() | (F.col("r.at") < F.col("d.valid_to")))
+    return hit.alias("r").join(d.alias("d"), live, "left_anti")
 
 
 def orphan_rows(refs: DataFrame, dims: DataFrame) -> DataFrame:
