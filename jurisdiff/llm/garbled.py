@@ -232,18 +232,18 @@ def _stretches(s: str, lo: int, hi: int, reader: str, right: str) -> Iterator[tu
 
 
 def _core(s: str, x: int, y: int, decoded: str) -> tuple[int, int, str]:
-    """The stretch without unchanged characters at its ends."""
-    while x < y and decoded and s[x] == decoded[0]:
+    """The stretch without the ASCII at its ends, which no mapping changes."""
+    while x < y and decoded and s[x] == decoded[0] and s[x] < "\x80":
         x, decoded = x + 1, decoded[1:]
-    while x < y and decoded and s[y - 1] == decoded[-1]:
+    while x < y and decoded and s[y - 1] == decoded[-1] and s[y - 1] < "\x80":
         y, decoded = y - 1, decoded[:-1]
     return x, y, decoded
 
 
-_WESTERN_RUN = re.compile("[" + re.escape("".join(_byte_of("western"))) + "]{3}|[" + re.escape("".join(_byte_of("western"))) + "].[" + re.escape("".join(_byte_of("western"))) + "]")
+_WESTERN = "[" + re.escape("".join(_byte_of("western"))) + "]"
+_WESTERN_RUN = re.compile(f"{_WESTERN}{{3}}|{_WESTERN}.{_WESTERN}")
 _IDEOGRAPHS = re.compile("[\u3100-\u9fff]{2}")
 
-
 # Neighbours of a run that are themselves parts of a damaged character as a rule.
 _ENDS = set("".join(_byte_of("western"))) - set("ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ’“”–—")
 
