@@ -276,7 +276,8 @@ def read_events(df: DataFrame, keep: list[str], glossary: Glossary, model: PairM
                 read[k] = merged(read[k], g.read(folded(restore(s, m)[0] if hit and not s.isascii() else s)))
             none = ([-1] * len(SLOTS), "", "")
             out = pdf[keep].copy()
-            out["slots"], out["number"], out["rest"] = ([(r or none)[i] for r in read] for i in range(3))
+            for i, c in enumerate(("slots", "number", "rest")):
+                out[c] = pd.Series([(r or none)[i] for r in read], index=out.index, dtype=object)
             yield out
 
     return df.select(*keep, *[c for c in ("label", "title") if c not in keep]).mapInPandas(run, kinds + ", slots array<int>, number string, rest string")

@@ -39,8 +39,8 @@ MIN_TELLING = 0.8
 MIN_TELLING_LONG = 0.6
 #: Different anchors of an item that a document must hold (all of them, if the item has fewer).
 MIN_ANCHORS = 2
-#: An item's term that so many items or more share says nothing about which of them leaked.
-SHARED_ITEMS = 12
+#: A term that more than this share of the items hold (at least two of them) says nothing about which of them leaked.
+SHARED_ITEMS = 0.05
 
 # Han, Kana and other letters written without blanks.
 _DENSE = "぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿가-힣々〆"
@@ -160,7 +160,8 @@ class Items:
             for t in item["seq"]:
                 holders[t].add(k)
         common = max(50, documents // 200)
-        telling = {t for t, h in holders.items() if t >= 0 and len(h) <= SHARED_ITEMS and df.get(t, 0) <= common}
+        few = max(2, int(len(self.items) * SHARED_ITEMS))
+        telling = {t for t, h in holders.items() if t >= 0 and len(h) <= few and df.get(t, 0) <= common}
         chosen: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for k, item in enumerate(self.items):
             seq = item["seq"]
@@ -277,7 +278,7 @@ def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, i
                     ids.append(d)
                     tt.append(np.array(terms, np.int32))
                     pp.append(np.array(at, np.int32))
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "terms": tt, "positions": pp})
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "terms": pd.Series(tt, dtype=object), "positions": pd.Series(pp, dtype=object)})
 
     docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     postings = materialize(docs.mapInPandas(index, "doc_id bigint, terms array<int>, positions array<int>"), "postings")

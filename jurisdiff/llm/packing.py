@@ -3,9 +3,10 @@
 Documents are packed partition by partition with best-fit decreasing. Dual
 feasible functions give a lower bound on the containers any packing of a
 partition's documents needs; a partition that meets its bound is certified and
-final. The others keep their well-filled containers, exchange the documents of
-the rest, partition with partition, and pack again, for a few rounds or until
-none has a gap. Partitions are of bounded size, so no task grows with the data.
+final but for its one least filled container. The others keep their well-filled
+containers. What is left over is exchanged, partition with partition, and packed
+again, for a few rounds or until one partition holds it all. Partitions are of
+bounded size, so no task grows with the data.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ def _pack_partition(capacity: int):
         used = int(bins[filled].max()) + 1 if filled.any() else 1
         fill = np.bincount(bins, sizes, used)
         gap = used - lower_bound(sizes[filled], capacity) if filled.any() else 0
-        pdf["bin"], pdf["fill"], pdf["gap"] = bins, fill[bins].astype(np.int64), gap
+        pdf["bin"], pdf["fill"], pdf["gap"], pdf["loose"] = bins, fill[bins].astype(np.int64), gap, bins == int(fill.argmin())
         return pdf
 
     return pack
@@ -121,19 +122,19 @@ def pack_documents(sizes: DataFrame, capacity: int = CAPACITY, items_a_partition
     count = rest.count()
     n = max(1, -(-count // items_a_partition))
     kind = sizes.select("doc_id").schema[0].dataType.simpleString()
-    schema = f"doc_id {kind}, part int, tokens bigint, pid bigint, bin bigint, fill bigint, gap bigint"
+    schema = f"doc_id {kind}, part int, tokens bigint, pid bigint, bin bigint, fill bigint, gap bigint, loose boolean"
     spread = lambda df, r: df.withColumn("pid", F.pmod(F.xxhash64("doc_id", "part", F.monotonically_increasing_id(), F.lit(r)), F.lit(n)))  # noqa: E731 - repeated rows part, too; the tables are stored, so the numbers hold
     todo = spread(rest, -1)
     done: list[DataFrame] = [full]
     for r in range(rounds + 1):
         packed = materialize(todo.groupBy("pid").applyInPandas(_pack_partition(capacity), schema), f"packed{r}")
-        final = (F.col("gap") <= 0) | (F.col("fill") >= int(KEPT_FILL * capacity))
-        gaps = 0 if r == rounds else packed.where(F.col("gap") > 0).select("pid").distinct().count()
-        if gaps < 2:  # one partition alone has none to exchange with
+        final = (F.col("fill") >= int(KEPT_FILL * capacity)) | ((F.col("gap") <= 0) & ~F.col("loose"))
+        last = n == 1 or r == rounds  # one partition alone has none to exchange with
+        if last:
             final = F.lit(True)
         name = F.concat(F.lit(f"{r}-"), F.col("pid").cast("string"), F.lit("-"), F.col("bin").cast("string"))
         done.append(packed.where(final).select("doc_id", "part", "tokens", name.alias("container"), "fill"))
-        if gaps < 2:
+        if last:
             break
         open_items = packed.where(~final)
         n = max(1, -(-open_items.count() // items_a_partition))

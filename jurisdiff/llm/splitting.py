@@ -84,6 +84,13 @@ class _Document:
             k -= 1
         return k
 
+    def after(self, k: int) -> int:
+        """The first token end behind k that ends a character."""
+        k += 1
+        while k < self.n and not self.whole[k]:
+            k += 1
+        return k
+
     def start(self, end: int, overlap: int, lo: int) -> tuple[int, bool]:
         """(token where a piece begins whose predecessor ends at end, is it a boundary): at least the overlap back, to a word's beginning if one is near."""
         if not overlap:
@@ -128,40 +135,39 @@ def _plan(doc: _Document, k: int, limit: int, overlap: int) -> list[tuple[int, i
     reach = max(1, int(limit * REACH))
     patient = k * (limit - overlap) < 2 * doc.n
     out = []
-    start, clean_start = 0, True
+    start, clean_start, end = 0, True, 0
     j = 0
     while True:
         j += 1
         room = min(start + limit, doc.n)
-        target = min(max(overlap + round(j * (doc.n - overlap) / k), start + overlap + 1), room)
+        least = doc.after(end)  # a piece reaches beyond the one before
+        target = max(min(max(overlap + round(j * (doc.n - overlap) / k), least), room), least)
         if doc.n - start <= limit and (j >= k or target + reach >= doc.n):
             end, strength = doc.n, len(STRENGTHS) - 1
         elif j >= k and patient:
             return None
         else:
-            lo = min(max(target - reach, start + overlap + 1), room)
+            lo = max(target - reach, least)
             hit = doc.near(target, lo, max(lo, min(target + reach, room)))
             if hit and hit[0] < doc.n:
                 end, strength = hit
             else:
-                end, strength = doc.hard(min(target, doc.n - 1), start + overlap + 1), len(STRENGTHS) - 1
+                end, strength = doc.hard(target, least), len(STRENGTHS) - 1
         whole = clean_start and (strength < len(STRENGTHS) - 1 or end == doc.n)
         a, b = int(doc.char[start]), int(doc.char[end])
         tokens = end - start if whole else count(doc.text[a:b], doc.path)
         while tokens > limit:
-            if patient or end - 1 <= start + overlap + 1 or b - a <= 1:
-                if patient:
-                    return None
-                break
-            end = doc.hard(end - max(1, tokens - limit), start + overlap + 1)
-            if int(doc.char[end]) == b:
+            if patient:
+                return None
+            if end <= least or b - a <= 1:
                 break
+            end = doc.hard(max(end - max(1, tokens - limit), least), least)
             b, strength = int(doc.char[end]), len(STRENGTHS) - 1
             tokens = count(doc.text[a:b], doc.path)
         out.append((a, b, tokens, strength))
         if end >= doc.n:
             return out
-        nxt, clean_start = doc.start(end, overlap, start + 1)
+        nxt, clean_start = doc.start(end, overlap, doc.after(start))
         if overlap == 0:
             clean_start = strength < len(STRENGTHS) - 1
         start = nxt
