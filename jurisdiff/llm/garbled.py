@@ -35,6 +35,8 @@ MIN_RUN_WEIGHT = 8.0
 MIN_GAIN = 2.0
 #: A restored run scores more than this.
 MIN_PROBABLE = -0.5
+#: The same for runs of rare characters, and the gain of short runs.
+MIN_GAIN_RARE, MIN_PROBABLE_RARE, MIN_GAIN_SHORT = 2.5, -1.5, 3.0
 UNSEEN = -4.0
 
 #: Left by a failed decoding only: C1 controls but the next-line mark, private use, the replacement character.
@@ -273,6 +275,13 @@ def _shows(s: str, reader: str, right: str) -> bool:
     return bool(_IDEOGRAPHS.search(s)) or right == "utf-8"
 
 
+def _convincing(gain: float, new: float, right: str, length: int) -> bool:
+    """Does a mapping make a run probable? UTF-8 proves itself by its form as well; in other encodings a short run has to gain more."""
+    if right == "utf-8":
+        return gain >= MIN_GAIN and new > MIN_PROBABLE or gain >= MIN_GAIN_RARE and new > MIN_PROBABLE_RARE
+    return gain >= MIN_GAIN and new > MIN_PROBABLE if length >= 3 else gain >= MIN_GAIN_SHORT and new > 0
+
+
 def restore(s: str, model: PairModel) -> tuple[str, list[tuple[int, int]], bool]:
     """(text with every restorable run restored, the damaged runs of s, is any of them left unrestored).
 
@@ -300,7 +309,7 @@ def restore(s: str, model: PairModel) -> tuple[str, list[tuple[int, int]], bool]
                 continue
             for x, y, decoded in _stretches(s, a, b, reader, right):
                 x, y, decoded = _core(s, x, y, _again(decoded, reader) if right == "utf-8" else decoded)
-                if not decoded or right != "utf-8" and len(decoded) < 3 or len(RESIDUE.findall(decoded)) > len(decoded) // 4:
+                if not decoded or len(RESIDUE.findall(decoded)) > len(decoded) // 4:
                     continue
                 pre, post = s[x - 1 : x] if x else "\0", s[y : y + 1] or "\0"
                 pre = "" if RESIDUE.match(pre) or pre in _ENDS else pre
@@ -309,7 +318,7 @@ def restore(s: str, model: PairModel) -> tuple[str, list[tuple[int, int]], bool]
                     continue
                 new = model.text(pre + decoded + post)
                 found.append((new - model.text(pre + s[x:y] + post), new, x, y, decoded))
-        if any(gain >= MIN_GAIN and new > MIN_PROBABLE for gain, new, *_ in found):
+        if any(_convincing(gain, new, right, len(d)) for gain, new, _, _, d in found):
             best += [(gain * (y - x), x, y, decoded) for gain, new, x, y, decoded in found if gain > 0]
     best.sort(key=lambda t: -t[0])
     for _, x, y, decoded in best:
