@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Every blank the normalisers treat as white space (a regex character class body).
 BLANKS = r"\t\n\x0B\f\r\x{85} \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+BLANK_CHARS = "\t\n\x0b\f\r\x85 \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 HALF_WIDTH = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 
@@ -18,7 +19,7 @@ def fold_width(c: Column) -> Column:
 
 def trim_blanks(c: Column) -> Column:
     """Strip blanks of any kind from both ends."""
-    return F.regexp_replace(c, f"^[{BLANKS}]+|[{BLANKS}]+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARS))
 
 
 def norm_code(c: Column) -> Column:

@@ -24,13 +24,14 @@ TRACKING = ("utm_source", "utm_medium", "utm_campaign")
 
 def squeeze(c: Column) -> Column:
     """Runs of white space become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    # A lone space stays as it is, which spares nearly all replacements in running text.
+    return F.trim(F.regexp_replace(c, f"[{BLANKS.replace(' ', '', 1)}]{WS}*| {WS}+", " "))
 
 
 def strip_html(c: Column) -> Column:
     """Text of a page: scripts and styles go with their content, every other tag becomes a space; entities stay as they are."""
     bare = F.regexp_replace(F.regexp_replace(c, _SCRIPT, ""), _STYLE, "")
-    return squeeze(F.regexp_replace(bare, "<[^>]+>", " "))
+    return squeeze(F.when(F.contains(c, F.lit("<")), F.regexp_replace(bare, "<[^>]+>", " ")).otherwise(c))
 
 
 def fragment_text(c: Column) -> Column:
