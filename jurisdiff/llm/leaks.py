@@ -211,8 +211,8 @@ def _best_end(path: list[tuple[int, int]], start: int, step: int, dense: bool) -
     return keep
 
 
-def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple[int, int, int, float]]:
-    """(item, length of the passage in the item's own measure, matches, share of telling terms met) for each item of which a long passage is found."""
+def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple]:
+    """(item, length of the longest passage in the item's own measure, matches, share of telling terms met, is it the whole item, is the item dense) for each item whose anchors the document holds."""
     doc = dict(zip(positions, terms))
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for p, t in zip(positions, terms):
@@ -224,7 +224,7 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
         seq, dense = item["seq"], item["dense"]
         if len({seq[i] for _, i in pairs}) < min(MIN_ANCHORS, len(item["telling"])):
             continue
-        best = (0, 0, 0.0)
+        best = (0, 0, 0.0, False)
         done: list[tuple[int, int, int]] = []
         for d, i in pairs:
             if any(lo <= d <= hi and abs((d - i) - diag) <= 4 * MAX_GAP for lo, hi, diag in done):
@@ -239,17 +239,17 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
             met = {j for _, j in path}
             telling = [j for j in range(lo, hi + 1) if seq[j] in item["telling"]]
             share = sum(j in met for j in telling) / len(telling) if telling else 0.0
-            best = max(best, (length, len(path), share))
-        found.append((item["id"], *best, dense, len(seq)))
+            best = max(best, (length, len(path), share, lo == 0 and hi == len(seq) - 1))
+        found.append((item["id"], *best, dense))
     return found
 
 
 def passage_counts(found: list[tuple]) -> list[tuple[int, int]]:
     """(item, length) of the passages that count: long enough, or the whole item, and with the terms that tell the item from others."""
     out = []
-    for i, n, _, share, dense, size in found:
+    for i, n, _, share, whole, dense in found:
         least = MIN_CHARS if dense else MIN_WORDS
-        if (n >= least or not dense and n >= size) and (share >= MIN_TELLING or n >= 2 * least and share >= MIN_TELLING_LONG):
+        if (n >= least or whole) and (share >= MIN_TELLING or n >= 2 * least and share >= MIN_TELLING_LONG):
             out.append((i, n))
     return out
 

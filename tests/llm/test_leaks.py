@@ -11,7 +11,7 @@ _NAMES = ["".join(rnd.choice(["ba", "ko", "ri", "ste", "lu", "mo", "na", "tir"])
 _KANA = ["".join(rnd.choice("アカサタナハマヤラワミムメモリルレロ") for _ in range(5)) for _ in range(200)]
 EN = [" ".join(f"the court of {rnd.choice(_NAMES)} billed {rnd.randrange(100, 9999)} broadcasts, and the appeal moved to {rnd.choice(_NAMES)}." for _ in range(4)) for _ in range(20)]
 JA = ["".join(f"{rnd.choice(_KANA)}の許可審判所が第{rnd.randrange(100, 9999)}号様式が撤回された後で事業者{rnd.randrange(10, 999)}社に過料を科した。" for _ in range(3)) for _ in range(10)]
-ITEMS = [(i, f"Read the passage and answer. {t}") for i, t in enumerate(EN)] + [(100 + i, t) for i, t in enumerate(JA)] + [(200, None), (201, ""), (202, "…")]
+ITEMS = [(i, f"Read the passage and answer. {t}") for i, t in enumerate(EN)] + [(100 + i, t) for i, t in enumerate(JA)] + [(200, None), (201, ""), (202, "…"), (203, "Zorbalia quemmed trundlemarks"), (204, "仝蟇丼爻驫ヾ")]
 FILL = "A local authority recorded a register of serious incidents by way of exception. The court reviewed the appeal. "
 
 
@@ -23,7 +23,7 @@ DOCS = {
     1: (FILL + EN[0] + FILL, {0}), 2: (FILL + words(EN[1], 10, 32) + FILL, {1}), 3: (words(EN[2], 10, 22), set()), 4: ((FILL + EN[3]).upper().replace(",", "").replace(".", ""), {3}),
     5: (FILL + EN[4].replace("billed", "bilked", 1).replace("moved", "movd", 1), {4}), 6: (words(EN[5], 0, 20) + " (see note 4) " + words(EN[5], 20, 40), {5}), 7: (EN[6].replace("court", "<b>court</b>").replace(" the ", " **the** "), {6}),
     8: ("\n> ".join(words(EN[7], k, k + 6) for k in range(0, 48, 6)), {7}), 9: ("Read the passage and answer. " + FILL, set()), 10: (EN[8].replace("e", "е").replace(" ", "　"), {8}), 11: (EN[9].replace("billed", "bil-\nled"), {9}),
-    12: (JA[0], {100}), 13: ("作業部会は" + JA[1][10:70] + "。", {101}), 14: (JA[2][10:35], set()), 15: ("\n> ".join(JA[3][k : k + 17] for k in range(0, len(JA[3]), 17)), {103}), 16: (EN[10] + FILL + JA[4], {10, 104}), 17: (None, set()), 18: ("", set()), 19: (FILL * 2000 + EN[11], {11}), 20: (EN[0], {0}),
+    12: (JA[0], {100}), 13: ("作業部会は" + JA[1][10:70] + "。", {101}), 14: (JA[2][10:35], set()), 15: ("\n> ".join(JA[3][k : k + 17] for k in range(0, len(JA[3]), 17)), {103}), 16: (EN[10] + FILL + JA[4], {10, 104}), 17: (None, set()), 18: ("", set()), 19: (FILL * 2000 + EN[11], {11}), 20: (EN[0], {0}), 21: (FILL + "Zorbalia quemmed trundlemarks. " + FILL, {203}), 22: ("作業部会は仝蟇丼爻驫を公表", set()),
 }
 
 
