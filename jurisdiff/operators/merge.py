@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jurisdiff.functions.text import is_ymd, truncated
 from jurisdiff.functions.values import STATUS_ORDER
+from jurisdiff.operators.ranking import rank_within
 
 
 def allocate_ids(new: DataFrame, existing: DataFrame, date: str, country: str, seq: str) -> DataFrame:
@@ -17,10 +18,9 @@ def allocate_ids(new: DataFrame, existing: DataFrame, date: str, country: str, s
     """
     prefix = F.concat(F.col(date), F.lit("-"), F.col(country), F.lit("-"))
     used = existing.select(F.regexp_extract("id", r"^(.*-)(\d+)$", 1).alias("_prefix"), F.regexp_extract("id", r"^(.*-)(\d+)$", 2).try_cast("bigint").alias("n")).groupBy("_prefix").agg(F.max("n").alias("_max"))
-    w = Window.partitionBy("_prefix").orderBy(seq)
-    numbered = new.withColumn("_prefix", prefix).join(used, "_prefix", "left").withColumn("_n", F.coalesce("_max", F.lit(0)) + F.row_number().over(w))
-    digits = F.col("_n").cast("string")
-    return numbered.withColumn("id", F.concat("_prefix", F.when(F.length(digits) < 3, F.lpad(digits, 3, "0")).otherwise(digits))).drop("_prefix", "_max", "_n")
+    placed = rank_within(new.withColumn("_prefix", prefix), ["_prefix"], [seq], "_n").join(used, "_prefix", "left")
+    digits = (F.coalesce("_max", F.lit(0)) + F.col("_n")).cast("string")
+    return placed.withColumn("id", F.concat("_prefix", F.when(F.length(digits) < 3, F.lpad(digits, 3, "0")).otherwise(digits))).drop("_prefix", "_max", "_n")
 
 
 def country_anchor(country: Column, axis: Column) -> Column:

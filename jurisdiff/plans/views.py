@@ -11,6 +11,7 @@ from jurisdiff.functions.codes import norm_code, norm_term
 from jurisdiff.functions.text import first_truthy, format_minute, month_key
 from jurisdiff.functions.values import AXES, AXIS_LABELS, CHANGE_TYPE_LABELS, DEFAULT_TONE, DIFF_KEYS, EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY, STATUS_LABELS, STATUS_TONES
 from jurisdiff.operators.nested import flatten_records, regulation_nodes, shape_regulation
+from jurisdiff.operators.ranking import rank_within
 from jurisdiff.operators.validate import exactly_one
 from jurisdiff.plans.general import _code, _term
 from jurisdiff.plans.pipeline import AS_OF, _t
@@ -105,10 +106,11 @@ def search_by_month(spark, sf):
 
 def facet_values(spark, sf):
     """Values of each facet in the order in which they first appear in the list."""
-    u = _u(spark, sf).withColumn("pos", F.row_number().over(Window.orderBy(F.desc("date"), "row_key")))
-    cells = u.select("pos", F.explode(F.array(*[F.struct(F.lit(f).alias("facet"), c.alias("value")) for f, c in (("month", month_key(F.col("date"))), ("axis", F.col("axis")), ("change_type", F.col("change_type")), ("country", F.col("country")))])).alias("c"))
-    first = cells.groupBy("c.facet", "c.value").agg(F.min("pos").alias("first_pos"))
-    return first.select("facet", "value", F.row_number().over(Window.partitionBy("facet").orderBy("first_pos")).alias("ord"))
+    facets = (("month", month_key(F.col("date"))), ("axis", F.col("axis")), ("change_type", F.col("change_type")), ("country", F.col("country")))
+    cells = _u(spark, sf).select("date", "row_key", F.explode(F.array(*[F.struct(F.lit(f).alias("facet"), c.alias("value")) for f, c in facets])).alias("c"))
+    # The first in the list is the one of the latest date, and of these of the smallest key.
+    first = cells.groupBy("c.facet", "c.value").agg(F.max(F.struct("date", -F.col("row_key"))).alias("first"))
+    return first.select("facet", "value", F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("first"))).alias("ord"))
 
 
 def update_labels(spark, sf):
@@ -194,9 +196,9 @@ def snapshot_countries(spark, sf):
 
 
 def month_groups(spark, sf):
-    """The archive: updates of each month, latest first, as one list a month. A month's list is shown whole, so it is built whole; its keys only."""
-    w = Window.partitionBy("month").orderBy(F.desc("date"), "row_key")
-    return _u(spark, sf).withColumn("month", month_key(F.col("date"))).select("month", "row_key", F.row_number().over(w).alias("place"))
+    """The archive: the place of every update in the list of its month, latest first."""
+    u = _u(spark, sf).select(month_key(F.col("date")).alias("month"), "date", "row_key")
+    return rank_within(u, ["month"], [F.desc("date"), "row_key"], "place").select("month", "row_key", F.col("place").cast("int").alias("place"))
 
 
 def _nodes(spark, sf):

@@ -1,12 +1,14 @@
 """Known answers for gates, dedupe, identifiers, merges, state, links, URLs and dates."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from jurisdiff.functions import text as X
 from jurisdiff.operators import dedupe, gates, incremental, links, merge, validate
+from jurisdiff.operators.ranking import rank_within
 from jurisdiff.sources import catalog
 from jurisdiff.streaming.incremental import StateTable, run_feeds, run_pages
 
@@ -47,6 +49,17 @@ def test_identifiers(spark):
     assert got == {1: "2026-06-10-us-002", 2: "2026-06-10-us-003", 3: "2026-06-11-us-001", 4: "2026-06-12-eu-1000", 5: None}
 
 
+def test_places_in_groups_of_any_size(spark):
+    rnd = random.Random(6)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice(["a", None]), i, "clash") for i in rnd.sample(range(900), 900)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = {(r.k, r.i): r.place for r in rank_within(spark.createDataFrame(rows, "k string, i int, _x string"), ["k"], [F.desc("i")], "place").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for k in ("hot", "a", None):
+        assert [got[k, i] for i in sorted((i for q, i, _ in rows if q == k), reverse=True)] == list(range(1, sum(q == k for q, *_ in rows) + 1))
+    assert rank_within(spark.createDataFrame([], "k string, i int"), ["k"], ["i"]).count() == 0
+
+
 def test_guarded_values(spark):
     current = spark.createDataFrame([("a", "draft"), ("b", "odd"), ("c", "enacted")], "k string, status string")
     patches = spark.createDataFrame([("a", 1, "enacted"), ("a", 2, "proposed"), ("a", 3, "enacted"), ("a", 4, ""), ("b", 1, "proposed"), ("c", 1, None), ("c", 2, "odd")], "k string, s int, status string")
