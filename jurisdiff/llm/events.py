@@ -111,7 +111,7 @@ def learn_glossary(df: DataFrame) -> "Glossary":
     pairs = pairs.groupBy("slot", "country", "ja", "en").agg(F.sum("n").alias("n"))
     total = pairs.groupBy("slot", "country").agg(F.sum("n").alias("total"))
     share = F.when(F.col("slot") == "body", BODY_SHARE).otherwise(PHRASE_SHARE)
-    kept = pairs.join(F.broadcast(total), ["slot", "country"]).where((F.col("n") >= F.col("total") * share) & (F.col("n") >= MIN_PHRASE))
+    kept = pairs.join(total, ["slot", "country"]).where((F.col("n") >= F.col("total") * share) & (F.col("n") >= MIN_PHRASE))
     return Glossary(kept.select("slot", "country", "ja", "en", "n").orderBy("slot", "country", "ja", "en").toPandas())
 
 
