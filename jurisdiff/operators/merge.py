@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jurisdiff.functions.text import is_ymd, truncated
@@ -55,8 +55,10 @@ def guarded_values(patches: DataFrame, current: DataFrame, key: str, value: str,
     """
     p = patches.where(F.coalesce(F.col(value), F.lit("")) != "").select(key, seq, F.col(value).alias("new"), status_rank(F.col(value), order).alias("rank"))
     c = current.select(key, F.col(value).alias("old"), status_rank(F.col(value), order).alias("old_rank"))
-    w = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    met = p.join(c, key).withColumn("met", F.greatest(F.coalesce(F.max("rank").over(w), F.lit(0)), F.col("old_rank")))
+    # Where each rank is first reached tells the running greatest; there are as many places a key as ranks.
+    reached = p.groupBy(key, "rank").agg(F.min(seq).alias("at")).groupBy(key).agg(F.collect_list(F.struct("at", "rank")).alias("reached"))
+    before = F.array_max(F.transform(F.filter("reached", lambda x: x["at"] < F.col(seq)), lambda x: x["rank"]))
+    met = p.join(c, key).join(reached, key).withColumn("met", F.greatest(F.coalesce(before, F.lit(0)), F.col("old_rank")))
     best = p.groupBy(key).agg(F.max_by("new", F.struct("rank", F.col(seq))).alias("new"), F.max("rank").alias("rank"))
     after = c.join(best, key, "left").select(key, F.when(F.col("rank") >= F.col("old_rank"), F.col("new")).otherwise(F.col("old")).alias(value))
     return after, met.where("rank < met").select(key, seq, F.col("new").alias(value))
