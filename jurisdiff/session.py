@@ -38,8 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from the session's ``spark.checkpoint.dir``."""
     global _own_dir
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    found = found or spark.sparkContext.getCheckpointDir()
     if found:
         return found.rstrip("/")
+    if not (spark.sparkContext.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="jurisdiff-")
     return "file://" + _own_dir
