@@ -126,7 +126,12 @@ def canonical(s: str) -> str:
             s = _letters(s)
     if "  " in s or s[:1] == " " or s[-1:] == " ":
         s = re.sub("  +", " ", s).strip(" ")
-    return _settle_kana(s)
+    for _ in range(len(s) + 1):
+        t = _settle_kana(s)
+        if t == s:
+            break
+        s = _letters(t) if check.search(t) else t  # a mark may compose with the new letter
+    return s
 
 
 def canonical_column(df: DataFrame, column: str, to: str) -> DataFrame:
