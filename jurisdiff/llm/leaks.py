@@ -7,7 +7,8 @@ take part in a passage); a segment of the index is a file of it, and a
 document's lists never leave their segment, so nothing is shuffled by term.
 
 Of every window of an item of the shortest passage's length, the rarest terms
-by their document frequency over the whole corpus are its anchors. A document
+by their document frequency over the whole corpus are its anchors, however
+frequent they are: a passage may stand in any share of the documents. A document
 is looked at for an item only if it holds an anchor of it. Then the position
 lists of the item's terms are intersected, shifted by their offset in the item:
 positions on one diagonal are an exact phrase, and a chain over neighbouring
@@ -41,6 +42,8 @@ MIN_TELLING_LONG = 0.6
 MIN_ANCHORS = 2
 #: A term that more than this share of the items hold (at least two of them) says nothing about which of them leaked.
 SHARED_ITEMS = 0.05
+#: Terms in no more than this share of the documents tell a passage from the same wording about something else.
+RARE = 0.005
 
 # Han, Kana and other letters written without blanks.
 _DENSE = "぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿가-힣々〆"
@@ -154,25 +157,35 @@ class Items:
         self.anchors: dict[int, list[tuple[int, int]]] = {}
 
     def choose_anchors(self, df: dict[int, int], documents: int) -> None:
-        """Per window of the shortest passage the rarest of the telling terms, those that few items and documents hold."""
+        """Per window of the shortest passage its rarest terms, however frequent, of those that few items hold; of all, if it has none of these.
+
+        Telling are its terms that few items and documents hold; where many
+        documents hold all of them, those that the fewest items hold.
+        """
         holders: dict[int, set[int]] = defaultdict(set)
+        wording: dict[tuple[int, ...], set[int]] = defaultdict(set)
         for k, item in enumerate(self.items):
-            for t in item["seq"]:
+            seq = item["seq"]
+            item["size"] = size = min(len(seq), MIN_CHARS * 2 // 3 if item["dense"] else MIN_WORDS)
+            for t in seq:
                 holders[t].add(k)
-        common = max(50, documents // 200)
+            for a in range(len(seq) - size + 1):
+                wording[tuple(seq[a : a + size])].add(k)
         few = max(2, int(len(self.items) * SHARED_ITEMS))
-        telling = {t for t, h in holders.items() if t >= 0 and len(h) <= few and df.get(t, 0) <= common}
         chosen: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for k, item in enumerate(self.items):
-            seq = item["seq"]
-            size = min(len(seq), MIN_CHARS * 2 // 3 if item["dense"] else MIN_WORDS)
-            item["telling"] = {t for t in seq if t in telling}
-            if len(item["telling"]) < MIN_ANCHORS:  # an item of common words only: all of them have to tell it
-                item["telling"] = {t for t in seq if t >= 0}
+            seq, size = item["seq"], item["size"]
+            item["telling"], item["own"] = set(), set()
             for a in range(len(seq) - size + 1):
-                window = sorted((df.get(seq[p], 0), p) for p in range(a, a + size) if seq[p] in item["telling"])
-                for _, p in window[:ANCHORS]:
+                if len(wording[tuple(seq[a : a + size])]) > few:
+                    continue
+                item["own"].add(a)
+                window = sorted((df.get(seq[p], 0), p) for p in range(a, a + size) if seq[p] >= 0)
+                telling = [(n, p) for n, p in window if len(holders[seq[p]]) <= few]
+                for _, p in (telling or window)[:ANCHORS]:
                     chosen[seq[p]].add((k, p))
+                least = min((len(holders[seq[p]]) for _, p in telling), default=0)
+                item["telling"].update([p for n, p in telling if n <= documents * RARE] or [p for _, p in telling if len(holders[seq[p]]) == least])
         self.anchors = {t: sorted(v) for t, v in chosen.items()}
 
 
@@ -211,8 +224,25 @@ def _best_end(path: list[tuple[int, int]], start: int, step: int, dense: bool) -
     return keep
 
 
+def _holds_exact(path: list[tuple[int, int]], item: dict) -> bool:
+    """Does the path hold, without a slip, wording of the shortest passage's length (or the whole item) that few items share?"""
+    seq, offsets, dense = item["seq"], item["offsets"], item["dense"]
+    least = MIN_CHARS if dense else MIN_WORDS
+    d0, i0 = d1, i1 = path[0]
+    for d, i in [*path[1:], (-1, -1)]:
+        if i >= 0 and d - d1 == i - i1 and all(t < 0 for t in seq[i1 + 1 : i]):
+            d1, i1 = d, i
+            continue
+        end = min(i1 + 2, len(seq) - 1) if dense and seq[i1] >= 0 else i1  # the last term's own characters
+        length = offsets[end + 1] - offsets[i0] if dense else end - i0 + 1
+        if (length >= least or i0 == 0 and end == len(seq) - 1) and any(a in item["own"] for a in range(i0, end - item["size"] + 2)):
+            return True
+        d0, i0 = d1, i1 = d, i
+    return False
+
+
 def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple]:
-    """(item, length of the longest passage in the item's own measure, matches, share of telling terms met, is it the whole item, is the item dense) for each item whose anchors the document holds."""
+    """(item, length of the longest passage in the item's own measure, matches, share of telling terms met, is it the whole item, does it count without them as an exact run, is the item dense) for each item whose anchors the document holds."""
     doc = dict(zip(positions, terms))
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for p, t in zip(positions, terms):
@@ -222,9 +252,9 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
     for k, pairs in seeds.items():
         item = items.items[k]
         seq, dense = item["seq"], item["dense"]
-        if len({seq[i] for _, i in pairs}) < min(MIN_ANCHORS, len(item["telling"])):
+        if len({seq[i] for _, i in pairs}) < min(MIN_ANCHORS, len({seq[p] for p in item["telling"]})):
             continue
-        best = (0, 0, 0.0, False)
+        best = (0, 0, 0.0, False, False)
         done: list[tuple[int, int, int]] = []
         for d, i in pairs:
             if any(lo <= d <= hi and abs((d - i) - diag) <= 4 * MAX_GAP for lo, hi, diag in done):
@@ -237,19 +267,19 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
             hi = min(hi, len(seq) - 1)
             length = item["offsets"][hi + 1] - item["offsets"][lo] if dense else hi - lo + 1
             met = {j for _, j in path}
-            telling = [j for j in range(lo, hi + 1) if seq[j] in item["telling"]]
+            telling = [j for j in range(lo, hi + 1) if j in item["telling"]]
             share = sum(j in met for j in telling) / len(telling) if telling else 0.0
-            best = max(best, (length, len(path), share, lo == 0 and hi == len(seq) - 1))
+            best = max(best, (length, len(path), share, lo == 0 and hi == len(seq) - 1, share < MIN_TELLING and _holds_exact(path, item)))
         found.append((item["id"], *best, dense))
     return found
 
 
 def passage_counts(found: list[tuple]) -> list[tuple[int, int]]:
-    """(item, length) of the passages that count: long enough, or the whole item, and with the terms that tell the item from others."""
+    """(item, length) of the passages that count: long enough, or the whole item, and exact or with the terms that tell the item from others."""
     out = []
-    for i, n, _, share, whole, dense in found:
+    for i, n, _, share, whole, exact, dense in found:
         least = MIN_CHARS if dense else MIN_WORDS
-        if (n >= least or whole) and (share >= MIN_TELLING or n >= 2 * least and share >= MIN_TELLING_LONG):
+        if exact or (n >= least or whole) and (share >= MIN_TELLING or n >= 2 * least and share >= MIN_TELLING_LONG):
             out.append((i, n))
     return out
 

@@ -56,3 +56,9 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, EN[0])], "doc_id bigint, text string")
     assert L.find_leaks(docs, "doc_id", "text", items, "item_id", "text").count() == 0
     assert L.find_leaks(some, "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
+
+
+def test_passage_in_a_third_of_the_documents(spark):
+    docs = [(i, FILL + words(EN[1], 10, 32) + FILL if i % 3 == 0 else FILL + "作業部会は" + JA[1][10:70] + "。" if i % 3 == 1 else FILL * 2) for i in range(300)]
+    got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame(ITEMS, "item_id bigint, text string"), "item_id", "text").collect()}
+    assert got == {(i, 1) for i in range(0, 300, 3)} | {(i, 101) for i in range(1, 300, 3)}
