@@ -38,8 +38,6 @@ MAX_GAP = 12
 #: Share of the telling terms inside a passage that must be met, and inside one of twice the shortest length; the rest may be slips.
 MIN_TELLING = 0.8
 MIN_TELLING_LONG = 0.6
-#: Different anchors of an item that a document must hold (all of them, if the item has fewer).
-MIN_ANCHORS = 2
 #: A term that more than this share of the items hold (at least two of them) says nothing about which of them leaked.
 SHARED_ITEMS = 0.05
 #: Terms in no more than this share of the documents tell a passage from the same wording about something else.
@@ -189,39 +187,29 @@ class Items:
         self.anchors = {t: sorted(v) for t, v in chosen.items()}
 
 
-def _extend(doc: dict[int, int], seq: list[int], d: int, i: int, step: int) -> list[tuple[int, int]]:
-    """Matched (document, item) positions from (d, i) on in one direction, each the nearest continuation of the one before."""
+def _extend(doc: dict[int, int], seq: list[int], d: int, i: int, step: int, dense: bool) -> list[tuple[int, int]]:
+    """Matched (document, item) positions from (d, i) on in one direction, each the nearest continuation of the one before.
+
+    Misses cost more than matches gain, so chance matches beyond the passage are cut.
+    """
     out = []
-    n = len(seq)
+    get, reach = doc.get, MAX_GAP + 1
+    best = keep = score = 0
     while True:
-        hit = None
-        for total in range(2, 2 * MAX_GAP + 3):
-            for di in range(max(1, total - MAX_GAP - 1), min(total - 1, MAX_GAP + 1) + 1):
-                j = i + step * di
-                if 0 <= j < n and seq[j] >= 0 and doc.get(d + step * (total - di)) == seq[j]:
-                    hit = (d + step * (total - di), j)
-                    break
-            if hit:
-                break
-        if hit is None:
-            return out
+        ahead = seq[i + 1 : i + 1 + reach] if step > 0 else seq[max(0, i - reach) : i][::-1]
+        there = [get(p, -2) for p in range(d + step, d + step * (reach + 1), step)]
+        met = set(there).intersection(ahead)
+        if not met:
+            return out[:keep]
+        _, di, dd = min((there.index(t) + k, k, there.index(t)) for k, t in enumerate(ahead, 1) if t in met)
+        hit = (d + step * (dd + 1), i + step * di)
         out.append(hit)
-        d, i = hit
-
-
-def _best_end(path: list[tuple[int, int]], start: int, step: int, dense: bool) -> int:
-    """How many of the matches to keep: misses cost more than matches gain, so chance matches beyond the passage are cut."""
-    best = keep = score = 0
-    last = start
-    for k, (_, j) in enumerate(path, 1):
-        missed = abs(j - last) - 1
-        score += 1 - (1.2 if dense else 3.0) * missed
-        last = j
+        score += 1 - (1.2 if dense else 3.0) * (abs(hit[1] - i) - 1)
         if score >= best:
-            best, keep = score, k
+            best, keep = score, len(out)
         elif score < best - (24 if dense else 12):
-            break
-    return keep
+            return out[:keep]
+        d, i = hit
 
 
 def _holds_exact(path: list[tuple[int, int]], item: dict) -> bool:
@@ -252,15 +240,12 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
     for k, pairs in seeds.items():
         item = items.items[k]
         seq, dense = item["seq"], item["dense"]
-        if len({seq[i] for _, i in pairs}) < min(MIN_ANCHORS, len({seq[p] for p in item["telling"]})):
-            continue
         best = (0, 0, 0.0, False, False)
         done: list[tuple[int, int, int]] = []
         for d, i in pairs:
             if any(lo <= d <= hi and abs((d - i) - diag) <= 4 * MAX_GAP for lo, hi, diag in done):
                 continue
-            ahead, behind = _extend(doc, seq, d, i, 1), _extend(doc, seq, d, i, -1)
-            ahead, behind = ahead[: _best_end(ahead, i, 1, dense)], behind[: _best_end(behind, i, -1, dense)]
+            ahead, behind = _extend(doc, seq, d, i, 1, dense), _extend(doc, seq, d, i, -1, dense)
             path = [*reversed(behind), (d, i), *ahead]
             done.append((path[0][0], path[-1][0], d - i))
             lo, hi = path[0][1], path[-1][1] + (2 if dense and seq[path[-1][1]] >= 0 else 0)

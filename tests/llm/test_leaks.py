@@ -62,3 +62,13 @@ def test_passage_in_a_third_of_the_documents(spark):
     docs = [(i, FILL + words(EN[1], 10, 32) + FILL if i % 3 == 0 else FILL + "作業部会は" + JA[1][10:70] + "。" if i % 3 == 1 else FILL * 2) for i in range(300)]
     got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame(ITEMS, "item_id bigint, text string"), "item_id", "text").collect()}
     assert got == {(i, 1) for i in range(0, 300, 3)} | {(i, 101) for i in range(1, 300, 3)}
+
+
+def test_passage_with_one_anchor(spark):
+    """Exact passages with a single term that few items hold, found by that alone."""
+    names = sorted(set(_NAMES))[:120]
+    common = [f"the court of appeal heard that every authority had kept its own register in {a} while the office sent all notices by post to {b}" for a, b in zip(names[:60], names[60:])]
+    docs = [(i, FILL + words(common[i], 4, 22) + ". " + FILL) for i in range(60)] + [(100 + i, FILL + words(common[i], 10, 22) + ". " + FILL) for i in range(60)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(common)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items, "item_id", "text").collect()}
+    assert got == {(i, i) for i in range(60)}
