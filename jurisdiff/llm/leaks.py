@@ -229,8 +229,8 @@ def _holds_exact(path: list[tuple[int, int]], item: dict) -> bool:
     return False
 
 
-def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple]:
-    """(item, length of the longest passage in the item's own measure, matches, share of telling terms met, is it the whole item, does it count without them as an exact run, is the item dense) for each item whose anchors the document holds."""
+def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple[int, int]]:
+    """(item, length of the longest passage that counts, in the item's own measure) for each item of which the document holds one."""
     doc = dict(zip(positions, terms))
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for p, t in zip(positions, terms):
@@ -240,33 +240,32 @@ def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple
     for k, pairs in seeds.items():
         item = items.items[k]
         seq, dense = item["seq"], item["dense"]
-        best = (0, 0, 0.0, False, False)
+        best = 0
         done: list[tuple[int, int, int]] = []
         for d, i in pairs:
             if any(lo <= d <= hi and abs((d - i) - diag) <= 4 * MAX_GAP for lo, hi, diag in done):
                 continue
-            ahead, behind = _extend(doc, seq, d, i, 1, dense), _extend(doc, seq, d, i, -1, dense)
-            path = [*reversed(behind), (d, i), *ahead]
+            path = [*reversed(_extend(doc, seq, d, i, -1, dense)), (d, i), *_extend(doc, seq, d, i, 1, dense)]
             done.append((path[0][0], path[-1][0], d - i))
             lo, hi = path[0][1], path[-1][1] + (2 if dense and seq[path[-1][1]] >= 0 else 0)
             hi = min(hi, len(seq) - 1)
             length = item["offsets"][hi + 1] - item["offsets"][lo] if dense else hi - lo + 1
-            met = {j for _, j in path}
-            telling = [j for j in range(lo, hi + 1) if j in item["telling"]]
-            share = sum(j in met for j in telling) / len(telling) if telling else 0.0
-            best = max(best, (length, len(path), share, lo == 0 and hi == len(seq) - 1, share < MIN_TELLING and _holds_exact(path, item)))
-        found.append((item["id"], *best, dense))
+            if length > best and _counts(path, lo, hi, length, item):
+                best = length
+        if best:
+            found.append((item["id"], best))
     return found
 
 
-def passage_counts(found: list[tuple]) -> list[tuple[int, int]]:
-    """(item, length) of the passages that count: long enough, or the whole item, and exact or with the terms that tell the item from others."""
-    out = []
-    for i, n, _, share, whole, exact, dense in found:
-        least = MIN_CHARS if dense else MIN_WORDS
-        if exact or (n >= least or whole) and (share >= MIN_TELLING or n >= 2 * least and share >= MIN_TELLING_LONG):
-            out.append((i, n))
-    return out
+def _counts(path: list[tuple[int, int]], lo: int, hi: int, length: int, item: dict) -> bool:
+    """Is a chain over the positions lo to hi of the item a passage: long enough, or the whole item, and exact or with the terms that tell the item from others?"""
+    least = MIN_CHARS if item["dense"] else MIN_WORDS
+    if length < least and (lo > 0 or hi < len(item["seq"]) - 1):
+        return False
+    met = {j for _, j in path}
+    telling = [j for j in range(lo, hi + 1) if j in item["telling"]]
+    share = sum(j in met for j in telling) / len(telling) if telling else 0.0
+    return share >= MIN_TELLING or length >= 2 * least and share >= MIN_TELLING_LONG or _holds_exact(path, item)
 
 
 def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
@@ -308,7 +307,7 @@ def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, i
             for d, terms, positions in zip(pdf["doc_id"].tolist(), pdf["terms"], pdf["positions"]):
                 terms = terms.tolist()
                 if not anchors.value.isdisjoint(terms):
-                    out += [(d, i, n) for i, n in passage_counts(passages(terms, positions.tolist(), shared.value))]
+                    out += [(d, i, n) for i, n in passages(terms, positions.tolist(), shared.value)]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "length"]).astype("int64")
 
     return postings.mapInPandas(search, "doc_id bigint, item_id bigint, length bigint")

@@ -72,3 +72,12 @@ def test_passage_with_one_anchor(spark):
     items = spark.createDataFrame([(i, t) for i, t in enumerate(common)], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items, "item_id", "text").collect()}
     assert got == {(i, i) for i in range(60)}
+
+
+def test_exact_passage_beside_a_longer_chain_with_other_names(spark):
+    """Every chain is judged by itself: the item's wording about other names is longer, and isn't a passage."""
+    other = [words(EN[i], 0, 6) + " " + words(EN[i + 5], 6, 52) for i in range(5)]
+    docs = [(i, FILL + other[i] + FILL * 3 + words(EN[i], 10, 28) + ". " + FILL) for i in range(5)] + [(10 + i, FILL + other[i] + FILL) for i in range(5)]
+    items = spark.createDataFrame([(i, EN[i]) for i in range(5)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items, "item_id", "text").collect()}
+    assert got == {(i, i) for i in range(5)}
