@@ -1,11 +1,14 @@
 """Queries of the ingestion pipeline over the driver's tables, each with its SQL where SQL can say it.
 
 DuckDB has no compatibility normal form, so queries held against SQL compare
-labels without it (``compat=False``); tests cover the form itself.
+labels without it (``compat=False``). The pipeline's own form of each of them is
+the query of the same name with ``_compat`` behind it, which has no SQL.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,26 +91,26 @@ def event_labels_compat(spark, sf):
     return _t(spark, sf, "updates").select("row_key", _label(True).alias("label"))
 
 
-def _items(spark, sf):
+def _items(spark, sf, compat=False):
     code = norm_code(F.col("country"))
     u = _t(spark, sf, "updates")
-    return u.select(F.col("row_key").alias("seq"), F.when(code.isNotNull(), F.array(code)).alias("countries"), F.lit(None).cast("string").alias("country_hint"), _priority().alias("priority"), _label().alias("label"), "batch_no")
+    return u.select(F.col("row_key").alias("seq"), F.when(code.isNotNull(), F.array(code)).alias("countries"), F.lit(None).cast("string").alias("country_hint"), _priority().alias("priority"), _label(compat).alias("label"), "batch_no")
 
 
-def event_dedupe(spark, sf):
+def event_dedupe(spark, sf, compat=False):
     """One update per country and event label, in the order of the label's first update."""
-    return dedupe_events(_items(spark, sf))[0].select(F.col("seq").alias("row_key"), "cc", "label", F.col("out_seq"))
+    return dedupe_events(_items(spark, sf, compat))[0].select(F.col("seq").alias("row_key"), "cc", "label", F.col("out_seq"))
 
 
-def event_dedupe_drops(spark, sf):
-    return dedupe_events(_items(spark, sf))[1].select(F.col("seq").alias("row_key"), "cc", "reason")
+def event_dedupe_drops(spark, sf, compat=False):
+    return dedupe_events(_items(spark, sf, compat))[1].select(F.col("seq").alias("row_key"), "cc", "reason")
 
 
-def existing_event_antijoin(spark, sf):
+def existing_event_antijoin(spark, sf, compat=False):
     """Batch updates whose event the last 90 days of accepted ones don't hold, and the others with their reason."""
     u = _t(spark, sf, "updates").where("batch_no = 0").withColumn("country", norm_code(F.col("country")))
-    known = existing_event_keys(u, _label(), AS_OF, RECENCY_DAYS)
-    kept, drops = dedupe_events(_items(spark, sf).where("batch_no >= 1"), known)
+    known = existing_event_keys(u, _label(compat), AS_OF, RECENCY_DAYS)
+    kept, drops = dedupe_events(_items(spark, sf, compat).where("batch_no >= 1"), known)
     return kept.select(F.col("seq").alias("row_key"), F.lit("kept").alias("outcome")).unionByName(drops.select(F.col("seq").alias("row_key"), F.col("reason").alias("outcome")))
 
 
@@ -204,9 +207,9 @@ def news_urls(spark, sf):
     return _t(spark, sf, "country").select("ord", F.posexplode("news_queries").alias("pos", "q")).select("ord", F.col("pos").cast("bigint").alias("pos"), news_search_url(F.col("q"), NEWS_PREFIX, NEWS_SUFFIX).alias("url"))
 
 
-def existing_titles_q(spark, sf):
-    """Titles and labels of the last 60 days, as the classifier is given them."""
-    return existing_titles(_t(spark, sf, "updates").withColumnRenamed("id", "uid").withColumnRenamed("row_key", "id"), AS_OF, LIST_DAYS, F.coalesce(F.nullif("canonical_event", F.lit("")), event_label(F.col("title"), False))).select(F.col("id").alias("row_key"), "title", "label")
+def existing_titles_q(spark, sf, compat=False):
+    """Titles and labels of the last 60 days, as the classifier is given them (with compat)."""
+    return existing_titles(_t(spark, sf, "updates").withColumnRenamed("id", "uid").withColumnRenamed("row_key", "id"), AS_OF, LIST_DAYS, F.coalesce(F.nullif("canonical_event", F.lit("")), event_label(F.col("title"), compat))).select(F.col("id").alias("row_key"), "title", "label")
 
 
 def _patches(spark, sf):
@@ -267,7 +270,9 @@ def json_props(spark, sf):
     return _t(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-QUERIES = {
+COMPAT = {f"{name}_compat": partial(f, compat=True) for name, f in (("event_dedupe", event_dedupe), ("event_dedupe_drops", event_dedupe_drops), ("existing_event_antijoin", existing_event_antijoin), ("existing_titles", existing_titles_q))}
+
+QUERIES = COMPAT | {
     "strip_html": strip_html_q, "normalize_url": normalize_url_q, "url_first_wins": url_first_wins, "mechanical_gate": mechanical_gate_q, "gate_histogram": gate_histogram, "gate_drops": gate_drops,
     "publication_gate": publication_gate, "publication_histogram": publication_histogram, "event_labels": event_labels, "event_labels_compat": event_labels_compat, "event_dedupe": event_dedupe, "event_dedupe_drops": event_dedupe_drops,
     "existing_event_antijoin": existing_event_antijoin, "verdict_join": verdict_join, "country_whitelist": country_whitelist, "priority_topk": priority_topk, "over_cap": over_cap, "id_allocation": id_allocation, "month_partition": month_partition,
