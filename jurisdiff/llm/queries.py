@@ -21,7 +21,8 @@ def _updates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pair_model(u: DataFrame) -> PairModel:
-    return PairModel.fit(u.select("title").unionByName(u.select(F.col("summary.what").alias("title"))))
+    """Pairs of the distinct texts: copies of a damaged text can't make its damage probable."""
+    return PairModel.fit(u.select("title").unionByName(u.select(F.col("summary.what").alias("title"))).distinct())
 
 
 def garbled_fields(spark: SparkSession, sf: str) -> DataFrame:
