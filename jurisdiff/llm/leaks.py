@@ -1,28 +1,32 @@
 """Passages of evaluation items inside corpus documents: a positional inverted index.
 
 Documents are cut into terms: words, and for text written without blanks every
-character with its two successors. The index stores, document by document, the
-positions of the terms that occur in the evaluation items (other terms can't
-take part in a passage); a segment of the index is a file of it, and a
-document's lists never leave their segment, so nothing is shuffled by term.
-
-Of every window of an item of the shortest passage's length, the rarest terms
-by their document frequency over the whole corpus are its anchors, however
-frequent they are: a passage may stand in any share of the documents. A document
-is looked at for an item only if it holds an anchor of it. Then the position
-lists of the item's terms are intersected, shifted by their offset in the item:
-positions on one diagonal are an exact phrase, and a chain over neighbouring
-diagonals is a passage with slips or short insertions.
+character with its two successors. The index covers every term of the corpus
+and is made without a shuffle, segment by segment: a segment is an inverted
+index of some documents, with a sorted dictionary of their terms and, for each,
+the list of its postings (document, position) in that order. The list of a
+frequent term is so spread over all segments, and any later set of items is
+looked up in the same index.
+
+A search looks up the items' terms. Of every window of an item of the shortest
+passage's length, the rarest terms by their document frequency over the whole
+corpus are its anchors, however frequent they are: a passage may stand in any
+share of the documents. The anchors' lists name the documents to look at. There
+the lists of the item's other terms are intersected, shifted by their offset in
+the item: positions on one diagonal are an exact phrase, and a chain over
+neighbouring diagonals is a passage with slips or short insertions.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +39,17 @@ MIN_CHARS = 45
 ANCHORS = 4
 #: Insertions and gaps up to this many terms keep a passage together.
 MAX_GAP = 12
-#: Share of the telling terms inside a passage that must be met, and inside one of twice the shortest length; the rest may be slips.
+#: Share of what the terms inside a passage tell that must be met, and inside one of twice the shortest length; the rest may be slips.
 MIN_TELLING = 0.8
 MIN_TELLING_LONG = 0.6
+#: The information of a term counts in this power: names and numbers decide, not ordinary words.
+TELL_POWER = 3
 #: A term that more than this share of the items hold (at least two of them) says nothing about which of them leaked.
 SHARED_ITEMS = 0.05
-#: Terms in no more than this share of the documents tell a passage from the same wording about something else.
-RARE = 0.005
+#: Postings a segment holds at least, unless its task has no more documents.
+SEGMENT_POSTINGS = 1 << 20
+#: Characters of items searched at once, which bounds what is sent to every executor.
+BLOCK_CHARS = 8_000_000
 
 # Han, Kana and other letters written without blanks.
 _DENSE = "぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿가-힣々〆"
@@ -102,39 +110,30 @@ def terms_of(text: str) -> tuple[list[str], list[int], list[int]]:
     return terms, at, offsets
 
 
-def known_terms(text: str, number: dict[str, int]) -> tuple[list[int], list[int]]:
-    """Numbers and positions of the terms of a text that have a number; terms_of without the rest."""
+def numbered_terms(text: str, number: dict[str, int]) -> tuple[list[int], list[int], int]:
+    """(numbers of the terms of a text, their positions, how many positions it has); terms_of in numbers, new terms get the next ones."""
     text = plain(text)
+    new = number.setdefault
     if not _ANY_DENSE.search(text):
-        hits = [(number[w], i) for i, w in enumerate(_WORD.findall(text)) if w in number]
-        return [t for t, _ in hits], [i for _, i in hits]
+        terms = [new(w, len(number)) for w in _WORD.findall(text)]
+        return terms, list(range(len(terms))), len(terms)
     terms: list[int] = []
     at: list[int] = []
     run, pos = "", 0
-    get = number.get
-    for part, word in _PARTS.findall(text):
+    for part, word in [*_PARTS.findall(text), ("", "")]:
         if part:
             run += part
             continue
         if run:
-            for i in range(len(run) - 2):
-                t = get(run[i : i + 3])
-                if t is not None:
-                    terms.append(t)
-                    at.append(pos + i)
+            terms += [new(a + b + c, len(number)) for a, b, c in zip(run, run[1:], run[2:])]
+            at.extend(range(pos, pos + len(run) - 2))
             pos += len(run)
             run = ""
-        t = get(word)
-        if t is not None:
-            terms.append(t)
+        if word:
+            terms.append(new(word, len(number)))
             at.append(pos)
-        pos += 1
-    for i in range(len(run) - 2):
-        t = get(run[i : i + 3])
-        if t is not None:
-            terms.append(t)
-            at.append(pos + i)
-    return terms, at
+            pos += 1
+    return terms, at, pos
 
 
 class Items:
@@ -157,8 +156,9 @@ class Items:
     def choose_anchors(self, df: dict[int, int], documents: int) -> None:
         """Per window of the shortest passage its rarest terms, however frequent, of those that few items hold; of all, if it has none of these.
 
-        Telling are its terms that few items and documents hold; where many
-        documents hold all of them, those that the fewest items hold.
+        What a term tells is its information: the logarithm of how many times
+        fewer documents hold it than there are. So a passage in a third of all
+        documents still has terms that tell more than others.
         """
         holders: dict[int, set[int]] = defaultdict(set)
         wording: dict[tuple[int, ...], set[int]] = defaultdict(set)
@@ -173,7 +173,7 @@ class Items:
         chosen: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for k, item in enumerate(self.items):
             seq, size = item["seq"], item["size"]
-            item["telling"], item["own"] = set(), set()
+            item["own"] = set()
             for a in range(len(seq) - size + 1):
                 if len(wording[tuple(seq[a : a + size])]) > few:
                     continue
@@ -182,8 +182,7 @@ class Items:
                 telling = [(n, p) for n, p in window if len(holders[seq[p]]) <= few]
                 for _, p in (telling or window)[:ANCHORS]:
                     chosen[seq[p]].add((k, p))
-                least = min((len(holders[seq[p]]) for _, p in telling), default=0)
-                item["telling"].update([p for n, p in telling if n <= documents * RARE] or [p for _, p in telling if len(holders[seq[p]]) == least])
+            item["tells"] = [math.log(1 + documents / (1 + df.get(t, 0))) ** TELL_POWER if t >= 0 and len(holders[t]) <= few else 0.0 for t in seq]
         self.anchors = {t: sorted(v) for t, v in chosen.items()}
 
 
@@ -263,51 +262,165 @@ def _counts(path: list[tuple[int, int]], lo: int, hi: int, length: int, item: di
     if length < least and (lo > 0 or hi < len(item["seq"]) - 1):
         return False
     met = {j for _, j in path}
-    telling = [j for j in range(lo, hi + 1) if j in item["telling"]]
-    share = sum(j in met for j in telling) / len(telling) if telling else 0.0
+    tells = item["tells"]
+    whole = sum(tells[lo : hi + 1])
+    share = sum(tells[j] for j in met) / whole if whole else 0.0
     return share >= MIN_TELLING or length >= 2 * least and share >= MIN_TELLING_LONG or _holds_exact(path, item)
 
 
-def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
-    """doc_id, item_id, length: every document with an item of which it holds a passage.
-
-    length is in words, or in characters for items written without blanks.
-    Null and empty texts hold nothing; repeated documents each count. items is
-    held by every executor: it must be the evaluation set, not a corpus.
-    """
-    spark = documents.sparkSession
-    rows = [(r[0], r[1]) for r in items.where(F.col(item_text).isNotNull()).select(item_id, item_text).orderBy(item_id).collect()]
-    held = Items(rows)
-    number = spark.sparkContext.broadcast(held.number)
-
-    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = number.value
-        for pdf in batches:
-            ids, tt, pp = [], [], []
-            for d, s in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()):
-                if not isinstance(s, str) or not s:
+SEGMENT = pa.schema([("doc_ids", pa.list_(pa.int64())), ("terms", pa.list_(pa.string())), ("holders", pa.list_(pa.int32())), ("starts", pa.binary()), ("docs", pa.binary()), ("positions", pa.binary())])
+_SEGMENT_SQL = "doc_ids array<bigint>, terms array<string>, holders array<int>, starts binary, docs binary, positions binary"
+
+
+def _segment(ids: list[int], sizes: list[int], terms: np.ndarray, positions: np.ndarray, number: dict[str, int]) -> pa.RecordBatch:
+    """The inverted index of some documents, given as their terms in reading order; docs and starts are coded as differences."""
+    names = np.array(list(number), dtype=object)
+    order = np.argsort(names)
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    of = rank[terms]
+    docs = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+    by_term = np.argsort(of, kind="stable")
+    of, docs, positions = of[by_term], docs[by_term], positions[by_term]
+    starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])  # every numbered term occurs
+    new_doc = np.r_[True, (docs[1:] != docs[:-1]) | (of[1:] != of[:-1])]
+    holders = np.add.reduceat(new_doc, starts, dtype=np.int32)
+    steps = np.diff(docs, prepend=np.int32(0)).astype(np.int32)
+    one = [pa.array([ids], pa.list_(pa.int64())), pa.array([names[order]], pa.list_(pa.string())), pa.array([holders], pa.list_(pa.int32()))]
+    return pa.RecordBatch.from_arrays([*one, *[pa.array([x.tobytes()], pa.binary()) for x in (starts.astype(np.int32), steps, positions)]], schema=SEGMENT)
+
+
+def build_index(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The positional inverted index of a corpus, a segment a row. Null and empty texts, and texts without a term, are in none."""
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[int] = []
+        sizes: list[int] = []
+        tt: list[np.ndarray] = []
+        pp: list[np.ndarray] = []
+        number: dict[str, int] = {}
+        held = 0
+
+        def done() -> pa.RecordBatch:
+            nonlocal held, number
+            row = _segment(ids, sizes, np.concatenate(tt), np.concatenate(pp), number)
+            for x in (ids, sizes, tt, pp):
+                x.clear()
+            number, held = {}, 0
+            return row
+
+        for batch in batches:
+            for d, s in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = s.as_py()
+                if d is None or not s:
                     continue
-                terms, at = known_terms(s, known)
+                terms, at, _ = numbered_terms(s, number)
                 if terms:
                     ids.append(d)
+                    sizes.append(len(terms))
                     tt.append(np.array(terms, np.int32))
                     pp.append(np.array(at, np.int32))
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "terms": pd.Series(tt, dtype=object), "positions": pd.Series(pp, dtype=object)})
-
-    docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    postings = materialize(docs.mapInPandas(index, "doc_id bigint, terms array<int>, positions array<int>"), "postings")
-    freq = postings.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").count()  # as many rows as the items have terms
-    held.choose_anchors({r["t"]: r["count"] for r in freq.collect()}, documents.count())
-    shared = spark.sparkContext.broadcast(held)
-    anchors = spark.sparkContext.broadcast(frozenset(held.anchors))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for d, terms, positions in zip(pdf["doc_id"].tolist(), pdf["terms"], pdf["positions"]):
-                terms = terms.tolist()
-                if not anchors.value.isdisjoint(terms):
-                    out += [(d, i, n) for i, n in passages(terms, positions.tolist(), shared.value)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "length"]).astype("int64")
-
-    return postings.mapInPandas(search, "doc_id bigint, item_id bigint, length bigint")
+                    held += len(terms)
+                if held >= SEGMENT_POSTINGS:
+                    yield done()
+        if held:
+            yield done()
+
+    docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return docs.mapInArrow(segments, _SEGMENT_SQL)
+
+
+def _looked_up(terms: pa.Array, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the wanted terms a segment holds, their places in its dictionary)."""
+    at = pc.index_in(wanted, value_set=terms)
+    there = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+    return there, at.take(pa.array(there)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _candidates(seg: dict, wanted: pa.Array, anchors: frozenset[int]) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(doc_id, numbers of the wanted terms in it, their positions) of each document of a segment that an anchor's list names."""
+    there, at = _looked_up(seg["terms"].values, wanted)
+    if not len(there):
+        return
+    starts = np.frombuffer(seg["starts"].as_py(), np.int32)
+    docs = np.cumsum(np.frombuffer(seg["docs"].as_py(), np.int32))
+    positions = np.frombuffer(seg["positions"].as_py(), np.int32)
+    ends = np.r_[starts[1:], len(docs)]
+    named = np.zeros(len(seg["doc_ids"].values), bool)
+    for t, k in zip(there.tolist(), at.tolist()):
+        if t in anchors:
+            named[docs[starts[k] : ends[k]]] = True
+    if not named.any():
+        return
+    lists = []
+    for t, k in zip(there.tolist(), at.tolist()):
+        of = docs[starts[k] : ends[k]]
+        keep = named[of]
+        lists.append((of[keep], positions[starts[k] : ends[k]][keep], np.full(int(keep.sum()), t, np.int32)))
+    d, p, t = (np.concatenate(x) for x in zip(*lists))
+    order = np.lexsort((p, d))
+    d, p, t = d[order], p[order], t[order]
+    cuts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+    ids = seg["doc_ids"].values
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(d)]):
+        yield ids[int(d[a])].as_py(), t[a:b].tolist(), p[a:b].tolist()
+
+
+def search_index(index: DataFrame, documents: int, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """doc_id, item_id, length: every document of the index with an item of which it holds a passage.
+
+    documents: how many the index is of. Items are searched in blocks of about
+    BLOCK_CHARS characters, so what is sent to an executor doesn't grow with
+    the evaluation set; shares of items are those of a block.
+    """
+    texts = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    chars = texts.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
+    blocks = chars // BLOCK_CHARS + 1
+    found = None
+    for b in range(blocks):
+        rows = texts.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).orderBy("i").collect()
+        held = Items([(r["i"], r["t"]) for r in rows])
+        part = _search_block(index, documents, held)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _search_block(index: DataFrame, documents: int, held: Items) -> DataFrame:
+    spark = index.sparkSession
+    names = spark.sparkContext.broadcast(list(held.number))
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = pa.array(names.value, pa.string())
+        total = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for terms, holders in zip(batch.column(0), batch.column(1)):
+                there, at = _looked_up(terms.values, wanted)
+                total[there] += holders.values.to_numpy()[at]
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["t", "n"])
+
+    freq = index.select("terms", "holders").mapInArrow(frequencies, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))  # as many rows as the items have terms
+    held.choose_anchors({r["t"]: r["n"] for r in freq.collect()}, documents)
+    shared = spark.sparkContext.broadcast((held, frozenset(held.anchors)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, anchors = shared.value
+        wanted = pa.array(names.value, pa.string())
+        for batch in batches:
+            for k in range(batch.num_rows):
+                seg = {c: batch.column(c)[k] for c in SEGMENT.names}
+                out = [(d, i, n) for d, terms, at in _candidates(seg, wanted, anchors) for i, n in passages(terms, at, block)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], names=["doc_id", "item_id", "length"])
+
+    return index.mapInArrow(search, "doc_id bigint, item_id bigint, length bigint")
+
+
+def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """doc_id, item_id, length: every document with an item of which it holds a passage.
+
+    length is in words, or in characters for items written without blanks.
+    Null and empty texts hold nothing; repeated documents each count. An empty
+    corpus or evaluation set gives no rows.
+    """
+    index = materialize(build_index(documents, doc_id, text), "index")
+    counted = index.agg(F.coalesce(F.sum(F.size("doc_ids")), F.lit(0))).first()[0]
+    return search_index(index, counted, items, item_id, item_text)
