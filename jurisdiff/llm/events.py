@@ -1,48 +1,50 @@
-"""Reading labels and titles of events: the slots body, action, instrument, subject, system, sector, number.
-
-The wording of labels and titles follows a few forms in two languages. Texts
-that fit a form plainly teach the phrases of each slot (their counts over all
-rows) and, where a row has both a label and a title, which phrases of the two
-languages mean the same. With that glossary any text is read by spotting the
-phrases in it, whatever their order, case, decoration or connecting words; a
-slot that isn't spotted is looked for once more among the words left over,
-allowing for a slip of the pen.
+"""Reading labels and titles of events as bags of words of one language.
+
+A row tells its event twice, in a label and in a title, which may be written in
+another language and another order. Both fields are cut into units: words, and
+runs of Han and Katakana where there are no blanks; Hiragana only connects. How
+often a unit of the titles and a word of the labels stand in one row, counted
+over all rows, tells three things without any form of wording being given:
+
+- what a unit means: the words that most rows with it hold, and much more often
+  than other rows do;
+- which words and units tell nothing, because they go with no unit of the other
+  field: connecting words and decoration;
+- which rare words are slips: they go with a unit that means a similar word.
+
+An event is then the bag of the words its label tells, in which unknown words
+are settled by the row's own title, or the words its title means.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
-import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jurisdiff.llm.garbled import PairModel, restore, suspects
+from jurisdiff.llm.garbled import RESIDUE, PairModel, restore, suspects, trusted
 from jurisdiff.llm.lookalike import canonical
-
-SLOTS = ("body", "action", "instrument", "subject", "system", "sector")
-#: A phrase belongs to the glossary from this share of its slot on; a slot so has at most 1 / PHRASE_SHARE phrases.
-PHRASE_SHARE = 0.002
-#: For bodies the share is taken within their country.
-BODY_SHARE = 0.02
-MIN_PHRASE = 2
-
+from jurisdiff.session import materialize
+
+#: A word or unit is judged from this many rows on.
+MIN_ROWS = 3
+#: Meanings are sent to the executors for units of at least this share of the rows; rarer ones stand for themselves.
+MIN_SHARE = 1e-4
+#: A unit means the words that this share of its rows hold,
+MIN_CHANCE = 0.5
+#: and that are so many times more frequent there than in all rows.
+MIN_LIFT = 3.0
+#: Rows whose pairs are counted at once. Of such a part only pairs of half the chance asked for are passed on: what holds over all rows holds in some part.
+PART_ROWS = 50_000
+
+# The reference number of a document, with the word before it.
 _NUMBER = re.compile(r"[(\[]?\s*\b([a-z]{2,6})\.?\s*(\d{1,7})\s*[/\-–]\s*(\d{2})(?!\d)\s*[)\]]?")
-# The plain forms: one of the label, one of the title in English, four of the title in Japanese.
-_LABEL = re.compile(r"^(?P<head>.+) on (?P<subject>[^:]+?) of (?P<system>[^:]+?) in (?P<sector>[^:]+)$")
-# Japanese title forms behind the words that give each away.
-_TITLES = (
-    ("、対象は", re.compile(r"^(?P<system>.+?)の(?P<subject>.+?)を巡り(?P<body>.+?)が(?P<instrument>.+?)を(?P<action>.+?)、対象は(?P<sector>.+)$")),
-    ("についての", re.compile(r"^【(?P<sector>.+?)】(?P<body>.+?):(?P<system>.+?)・(?P<subject>.+?)についての(?P<instrument>.+?)、(?P<action>.+?)へ$")),
-    ("分野の", re.compile(r"^(?P<body>.+?)、(?P<sector>.+?)分野の(?P<system>.+?)に関する(?P<subject>.+?)の(?P<instrument>[^の]+?)を(?P<action>.+?)$")),
-    ("向け", re.compile(r"^(?P<body>.+?)が(?P<action>.+?)した(?P<sector>.+?)向け(?P<instrument>.+?) — (?P<system>.+?)と(?P<subject>.+)$")),
-)
-
-
+_UNIT = re.compile("[ァ-ヺー㐀-鿿々〆]+|[^\\W_々-ヿ㐀-鿿]+")
 #: Latin letters with marks -> the letter; kana keep theirs, which make other syllables.
 _PLAIN_LATIN = {c: b[0] for c in range(0xC0, 0x250) if (b := unicodedata.normalize("NFD", chr(c))) and len(b) > 1} | {0xF8: "o", 0x142: "l", 0x111: "d", 0x131: "i"}
 
@@ -67,52 +69,10 @@ def split_number(s: str) -> tuple[str, str]:
     return (s[: found.start()].rstrip() + " " + s[found.end() :].lstrip()).strip(), f"{int(found[2])}/{found[3]}"
 
 
-def plain_slots(label: str, title: str) -> dict[str, str]:
-    """Phrases of a row that fits the forms plainly: en_* from the label, ja_* from the title."""
-    out: dict[str, str] = {}
-    t = split_number(title)[0]
-    for words, form in _TITLES:
-        if words in t:
-            if m := form.match(t):
-                out.update({f"ja_{k}": v.strip() for k, v in m.groupdict().items()})
-            break
-    if m := _LABEL.match(split_number(label)[0]):
-        out.update({f"en_{k}": v.strip() for k, v in m.groupdict().items() if k != "head"})
-        body, head = out.get("ja_body"), m["head"]
-        if body and head.startswith(body + " "):
-            verb, _, rest = head[len(body) + 1 :].partition(" ")
-            if rest:
-                out["en_action"] = verb
-                out["en_instrument"] = rest.removeprefix("on ")
-    return out
-
-
-def learn_glossary(df: DataFrame) -> "Glossary":
-    """Counts of phrases and of phrase pairs over all rows; what is collected is bounded by the shares above.
-
-    df: country, label, title. A body is counted within its country.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: dict[tuple, int] = defaultdict(int)
-            for c, label, title in zip(pdf["country"].tolist(), pdf["label"].tolist(), pdf["title"].tolist()):
-                got = plain_slots(folded(label), folded(title))
-                for s in SLOTS:
-                    ja, en = got.get(f"ja_{s}"), got.get(f"en_{s}")
-                    if s == "body":
-                        if ja:
-                            rows["body", c, ja, ""] += 1
-                    elif ja or en:
-                        rows[s, "", ja or "", en or ""] += 1
-            yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=["slot", "country", "ja", "en", "n"])
-
-    pairs = df.select("country", "label", "title").mapInPandas(run, "slot string, country string, ja string, en string, n bigint")
-    pairs = pairs.groupBy("slot", "country", "ja", "en").agg(F.sum("n").alias("n"))
-    total = pairs.groupBy("slot", "country").agg(F.sum("n").alias("total"))
-    share = F.when(F.col("slot") == "body", BODY_SHARE).otherwise(PHRASE_SHARE)
-    kept = pairs.join(total, ["slot", "country"]).where((F.col("n") >= F.col("total") * share) & (F.col("n") >= MIN_PHRASE))
-    return Glossary(kept.select("slot", "country", "ja", "en", "n").orderBy("slot", "country", "ja", "en").toPandas())
+def units_of(text: str) -> tuple[list[str], str]:
+    """(units of a folded text in their order, its reference number)."""
+    text, number = split_number(text)
+    return _UNIT.findall(text), number
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -133,151 +93,232 @@ def edits(a: str, b: str, most: int) -> int:
     return prev[-1]
 
 
-_BREAK = re.compile("[\\s\x1f]*[\x1f:、,–—“”‘’\"【】〔〕\\[\\]()|・]+[\\s\x1f]*")
+def _similar(a: str, b: str) -> bool:
+    """Can a be b with a slip or two of the pen?"""
+    most = 2 if min(len(a), len(b)) > 5 else 1
+    return edits(a, b, most) <= most
+
+
+def _products(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of each row in two flat lists, given how many entries a row has in each."""
+    first_b = np.cumsum(sizes_b) - sizes_b
+    per_a = np.repeat(sizes_b, sizes_a)
+    a = np.repeat(np.arange(sizes_a.sum()), per_a)
+    start = np.cumsum(per_a) - per_a
+    b = np.arange(per_a.sum()) - np.repeat(start, per_a) + np.repeat(np.repeat(first_b, sizes_a), per_a)
+    return a, b
 
 
-def _mask(s: str) -> int:
-    """The set of characters, folded to 64 bits."""
-    m = 0
-    for c in s:
-        m |= 1 << (ord(c) & 63)
-    return m
+def _part_counts(rows: list[tuple[list[str], list[str]]]) -> pd.DataFrame:
+    """unit, word, n of one part: alone (the other empty) and in pairs that are frequent enough for one of the two."""
+    units: dict[str, int] = {}
+    words: dict[str, int] = {}
+    uu = [units.setdefault(x, len(units)) for u, _ in rows for x in u]
+    ww = [words.setdefault(x, len(words)) for _, w in rows for x in w]
+    un, wn = np.array([*units, ""], dtype=object), np.array([*words, ""], dtype=object)
+    ua, wa = np.array(uu, np.int64), np.array(ww, np.int64)
+    n_u, n_w = np.bincount(ua, minlength=len(units)), np.bincount(wa, minlength=len(words))
+    a, b = _products(np.array([len(u) for u, _ in rows]), np.array([len(w) for _, w in rows]))
+    pair, n = np.unique(ua[a] << 32 | wa[b], return_counts=True)
+    pu, pw = pair >> 32, pair & 0xFFFFFFFF
+    kept = n >= MIN_CHANCE / 2 * np.minimum(n_u[pu], n_w[pw])
+    return pd.DataFrame({
+        "unit": np.concatenate([un[:-1], np.full(len(words), ""), un[pu[kept]]]), "word": np.concatenate([np.full(len(units), ""), wn[:-1], wn[pw[kept]]]), "n": np.concatenate([n_u, n_w, n[kept]]),
+    })
 
 
-class Glossary:
-    """phrase -> (slot, concept) for both languages; concepts are numbered within their slot."""
+def count_pairs(df: DataFrame) -> DataFrame:
+    """unit, word, n over the rows with both fields, the title not plainly garbled; an empty word or unit: the rows of the other alone, both empty: all rows. df: label, title."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[list[str], list[str]]] = []
+
+        def part() -> pd.DataFrame:
+            out = pd.concat([_part_counts(rows), pd.DataFrame([("", "", len(rows))], columns=["unit", "word", "n"])])
+            rows.clear()
+            return out
 
-    def __init__(self, counts: pd.DataFrame):
-        ja_en: dict[str, dict[str, dict[str, int]]] = {s: defaultdict(lambda: defaultdict(int)) for s in SLOTS}
-        alone: dict[str, set[str]] = defaultdict(set)
-        for r in counts.itertuples():
-            if r.ja and r.en:
-                ja_en[r.slot][r.ja][r.en] += r.n
+        for pdf in batches:
+            for label, title in zip(pdf["label"].tolist(), pdf["title"].tolist()):
+                if trusted(title):
+                    u, w = set(units_of(folded(title))[0]), set(units_of(folded(label))[0])
+                    if u and w:
+                        rows.append((sorted(u), sorted(w)))
+            if len(rows) >= PART_ROWS:
+                yield part()
+        if rows:
+            yield part()
+
+    both = df.where("label is not null and title is not null").select("label", "title")
+    return both.mapInPandas(run, "unit string, word string, n bigint").groupBy("unit", "word").agg(F.sum("n").alias("n"))
+
+
+def learn_lexicon(df: DataFrame) -> "Lexicon":
+    """Meanings of units, idle words and slips, from counts over all rows. df: label, title.
+
+    Counts of further rows can be added to those of earlier ones; events that
+    were read before stay valid, as they are made of words, not of numbers.
+    """
+    counts = materialize(count_pairs(df), "unit-pairs")
+    rows = counts.where("unit = '' and word = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(MIN_ROWS, rows * MIN_SHARE)
+    alone = lambda mine, other: counts.where(f"{other} = '' and {mine} <> ''").select(mine, F.col("n").alias(f"n_{mine}"))
+    # What is judged here and sent to the executors is bounded: a row has so many units, and each is in at least MIN_SHARE of the rows.
+    units, words = alone("unit", "word").where(F.col("n_unit") >= least), alone("word", "unit").where(F.col("n_word") >= least)
+    pairs = counts.where("unit <> '' and word <> ''").where(F.col("n") >= MIN_ROWS)
+    known = pairs.join(alone("unit", "word"), "unit").join(alone("word", "unit"), "word").where((F.col("n_unit") >= least) | (F.col("n_word") >= least))
+    known = known.where(F.col("n") * F.lit(rows) >= F.lit(MIN_LIFT) * F.col("n_unit") * F.col("n_word"))
+    sure = F.col("n") - F.sqrt("n")  # less the chance error of a count
+    strong = known.select("unit", "word", (sure >= MIN_CHANCE * F.col("n_unit")).alias("means"), (sure >= MIN_CHANCE * F.col("n_word")).alias("points")).where("means or points")
+    return Lexicon(
+        [tuple(r) for r in strong.orderBy("unit", "word").collect()],
+        {r["unit"] for r in units.select("unit").collect()}, {r["word"] for r in words.select("word").collect()},
+    )
+
+
+class Lexicon:
+    """What units mean, which words are slips of which, and which tell nothing."""
+
+    def __init__(self, pairs: list[tuple[str, str, bool, bool]], units: set[str], words: set[str]):
+        """pairs: unit, word, does the unit mean the word, does the word point to the unit; units and words: those frequent enough to be judged."""
+        self.means: dict[str, list[str]] = {}
+        for u, w, means, _ in pairs:
+            if means:
+                self.means.setdefault(u, []).append(w)
+        for u in [u for u in self.means if u in words]:  # a word of both fields means itself or, if it doesn't, nothing
+            if u in self.means[u]:
+                self.means[u] = [u]
             else:
-                alone[r.slot].add(r.ja or r.en)
-        self.phrases: dict[str, tuple[str, int]] = {}
-        self.names: dict[str, list[str]] = {}
-        for s in SLOTS:
-            mean = {ja: max(ens, key=lambda e: (ens[e], e)) for ja, ens in ja_en[s].items()}
-            concepts = sorted(set(mean.values()) | {p for p in alone[s] if p not in mean})
-            at = {c: i for i, c in enumerate(concepts)}
-            self.names[s] = concepts
-            for p, i in [*at.items(), *((ja, at[en]) for ja, en in mean.items())]:
-                self.phrases.setdefault(p, (s, i))
-        self._built = None
+                del self.means[u]
+        self.content = {w for ws in self.means.values() for w in ws}
+        told = {w for _, w, _, points in pairs if points}
+        self.slips: dict[str, str] = {}
+        for u, w, means, points in pairs:
+            if points and not means and w not in self.content:
+                near = {c for c in self.means.get(u, ()) if _similar(w, c)}
+                if len(near) == 1:
+                    self.slips[w] = near.pop()
+        self.idle = {w for w in words if w not in self.content and w not in told} | {u for u in units if u not in self.means and u not in self.content}
+        self._near: dict[str, list[str]] | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_built": None}
-
-    def _tools(self):
-        """Automaton over all phrases, and per slot (phrase, concept, characters); built once a worker."""
-        if self._built is None:
-            auto = ahocorasick.Automaton()
-            for p, (slot, concept) in self.phrases.items():
-                auto.add_word(p, (len(p), slot, concept))
-            if self.phrases:
-                auto.make_automaton()
-            near = {s: [(p, i, _mask(p)) for p, (t, i) in self.phrases.items() if t == s] for s in SLOTS}
-            self._built = auto, near
-        return self._built
-
-    def read(self, text: str) -> tuple[list[int], str, str]:
-        """(concept of each slot, -1 where unknown; number; what was left over if a slot is unknown) of one folded text."""
-        text, number = split_number(text)
-        got = dict.fromkeys(SLOTS, -1)
-        spots = []
-        if self.phrases:
-            for end, (n, slot, concept) in self._tools()[0].iter(text):
-                a, b = end + 1 - n, end + 1
-                # A phrase that begins or ends in a letter of the Latin script stands between word ends.
-                if text[a] < "\u0250" and a and text[a - 1].isalnum() and text[a - 1] < "\u0250" or text[b - 1] < "\u0250" and b < len(text) and text[b].isalnum() and text[b] < "\u0250":
-                    continue
-                spots.append((-n, a, b, slot, concept))
-        spots.sort()
-        taken: list[tuple[int, int, str, int]] = []
-        for _, a, b, slot, concept in spots:  # the longest phrase at a place counts
-            if all(b <= p or q <= a for p, q, *_ in taken):
-                taken.append((a, b, slot, concept))
-        taken.sort()
-        for _, _, slot, concept in taken:
-            if got[slot] < 0:
-                got[slot] = concept
-        rest: list[str] = []
-        if min(got.values()) < 0:
-            left, at = [], 0
-            for a, b, *_ in taken:
-                left.append(text[at:a])
-                at = b
-            left.append(text[at:])
-            rest = [x.strip() for x in _BREAK.split("\x1f".join(left)) if x.strip()]
-            for slot in SLOTS:
-                if got[slot] < 0:
-                    got[slot] = self._slipped(slot, rest)
-        return [got[s] for s in SLOTS], number, " ".join(rest) if min(got.values()) < 0 else ""
-
-    def _slipped(self, slot: str, rest: list[str]) -> int:
-        """The one phrase of the slot nearest to some words left over, if near enough and no other is as near."""
-        best: dict[int, int] = {}
-        windows: set[str] = set()
-        for part in rest:
-            words = re.findall(r"[^\W_]+|\S", part) if " " in part or part.isascii() else None
-            spaced = part.split()
-            windows.update(" ".join(spaced[k : k + m]) for m in range(1, 7) for k in range(len(spaced) - m + 1))
-            if not part.isascii() and words is not None:
-                windows.update(re.findall("[\u3040-\u9fffー]+", part))
-            if not part.isascii():
-                run = re.sub("^.*?(?=[\u3040-\u9fff])", "", part)
-                windows.update(run[k : k + m] for m in range(2, 12) for k in range(len(run) - m + 1))
-        masked = [(w, len(w), _mask(w)) for w in windows]
-        for p, i, mask in self._tools()[1][slot]:
-            most = 2 if p[0] < "\u0250" and len(p) > 5 else 1
-            if p[0] >= "\u0250" and len(p) < 3:
-                continue
-            for w, n, wm in masked:
-                if abs(n - len(p)) <= most and (mask ^ wm).bit_count() <= 2 * most:
-                    d = edits(w, p, most)
-                    if d <= most and d < best.get(i, 9):
-                        best[i] = d
-        if not best:
-            return -1
-        near = min(best.values())
-        hits = [i for i, d in best.items() if d == near]
-        return hits[0] if len(hits) == 1 else -1
-
-
-def merged(a: tuple[list[int], str, str] | None, b: tuple[list[int], str, str] | None) -> tuple[list[int], str, str]:
-    """One reading from those of the label and the title: the more complete one, the label's if equal, its gaps filled from the other."""
-    if a is None or b is None:
-        return a or b or ([-1] * len(SLOTS), "", "")
-    if sum(x < 0 for x in b[0]) < sum(x < 0 for x in a[0]):
-        a, b = b, a
-    slots = [x if x >= 0 else y for x, y in zip(a[0], b[0])]
-    return slots, a[1] or b[1], a[2] if min(slots) < 0 else ""
-
-
-def read_events(df: DataFrame, keep: list[str], glossary: Glossary, model: PairModel) -> DataFrame:
-    """The kept columns, slots (concept of each, -1 unknown), number, rest. df: label, title.
+        return self.__dict__ | {"_near": None}
+
+    def _corrected(self, word: str) -> str:
+        """The one content word an unknown word can be a slip of; itself if there is none or more."""
+        if word in self.slips:
+            return self.slips[word]
+        if len(word) < 5 or not word.isascii():
+            return word
+        if self._near is None:  # content words by what is left without one letter: words one slip apart share such a rest
+            self._near = {}
+            for c in self.content:
+                if len(c) >= 4 and c.isascii():
+                    for rest in {c, *(c[:k] + c[k + 1 :] for k in range(len(c)))}:
+                        self._near.setdefault(rest, []).append(c)
+        rests = {word, *(word[:k] + word[k + 1 :] for k in range(len(word)))}
+        near = {c for rest in rests for c in self._near.get(rest, ()) if edits(word, c, 1) <= 1}
+        if not near and len(word) > 6:
+            twice = {r[:k] + r[k + 1 :] for r in rests for k in range(len(r))}
+            near = {c for rest in twice | rests for c in self._near.get(rest, ()) if edits(word, c, 2) <= 2}
+        return near.pop() if len(near) == 1 else word
+
+    def _cut(self, run: str) -> list[str] | None:
+        """A run of units without a connecting word between them, as the longest known units one after another."""
+        out = []
+        while run:
+            n = next((n for n in range(len(run), 0, -1) if run[:n] in self.means or run[:n] in self.idle), 0)
+            if not n:
+                return None
+            out.append(run[:n])
+            run = run[n:]
+        return out
+
+    def _meant(self, unit: str) -> list[str]:
+        if unit in self.means:
+            return self.means[unit]
+        if unit in self.idle or RESIDUE.search(unit):
+            return []
+        if unit >= "　" and (parts := self._cut(unit)) is not None:
+            return [w for p in parts for w in self.means.get(p, ())]
+        if unit in self.content:
+            return [unit]
+        return [self._corrected(unit)]
+
+    def of_title(self, units: list[str]) -> list[str]:
+        """The words a title means, as a bag: words of several units that mean the same count once a kind of unit."""
+        out: list[str] = []
+        for u in units:
+            meant = self._meant(u)
+            # Parts of one meaning (as a word with a connecting syllable inside) stand side by side.
+            if out[len(out) - len(meant) :] != meant or len(meant) == 1 and meant[0] == u:
+                out += meant
+        return out
+
+    def of_label(self, words: list[str], title: list[str] | None) -> list[str]:
+        """The words a label tells: idle ones left out, unknown ones settled by the title's words or, if these don't know them, by all content words."""
+        told = [w for w in words if w not in self.idle]
+        if all(w in self.content for w in told):
+            return told
+        spare = [t for t in title or () if t not in told]
+        out, unknown = [], []
+        for w in told:
+            if w in self.content:
+                out.append(w)
+            elif near := [t for t in spare if _similar(w, t)]:
+                out.append(near[0])
+                spare.remove(near[0])
+            else:
+                unknown.append(w)
+        if title and not spare and out:  # the title tells no more: what is left decorates
+            return out
+        return out + [self._corrected(w) for w in unknown]
+
+    def unsettled(self, words: list[str]) -> bool:
+        """Does a label need its title: has it an unknown word, or none that tells anything?"""
+        told = [w for w in words if w not in self.idle]
+        return not told or any(w not in self.content for w in told)
+
+
+def as_bag(words: list[str]) -> list[str]:
+    """The words sorted, repeated ones told apart by their number."""
+    seen: dict[str, int] = {}
+    out = []
+    for w in words:
+        n = seen[w] = seen.get(w, 0) + 1
+        out.append(w if n == 1 else f"{w}#{n}")
+    return sorted(out)
+
+
+def read_events(df: DataFrame, keep: list[str], lexicon: Lexicon, model: PairModel) -> DataFrame:
+    """The kept columns, number (empty: none) and words of each row's event. df: label, title.
 
     The title, restored if it was garbled, is read only where the label leaves
-    a slot open. A row with neither text gives slots that are all -1 and an
-    empty rest.
+    something open. A row with neither text has no words.
     """
-    shared = df.sparkSession.sparkContext.broadcast((glossary, model))
+    shared = df.sparkSession.sparkContext.broadcast((lexicon, model))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, m = shared.value
+        x, m = shared.value
         for pdf in batches:
-            read = [g.read(folded(s)) if isinstance(s, str) and s else None for s in pdf["label"].tolist()]
+            labels = [units_of(folded(s)) if isinstance(s, str) and s else ([], "") for s in pdf["label"].tolist()]
             titles = pdf["title"].tolist()
-            todo = [k for k, r in enumerate(read) if (r is None or min(r[0]) < 0) and isinstance(titles[k], str) and titles[k]]
+            todo = [k for k, (words, _) in enumerate(labels) if x.unsettled(words) and isinstance(titles[k], str) and titles[k]]
             texts = [titles[k] for k in todo]
+            second: dict[int, tuple[list[str], str]] = {}
             for k, s, hit in zip(todo, texts, suspects(texts, m)):
-                read[k] = merged(read[k], g.read(folded(restore(s, m)[0] if hit and not s.isascii() else s)))
-            none = ([-1] * len(SLOTS), "", "")
+                units, number = units_of(folded(restore(s, m)[0] if hit and not s.isascii() else s))
+                second[k] = x.of_title(units), number
+            bags, numbers = [], []
+            for k, (words, number) in enumerate(labels):
+                title, other = second.get(k, (None, ""))
+                told = x.of_label(words, title) if words else []
+                bags.append(as_bag(told or title or []))
+                numbers.append(number or other)
             out = pdf[keep].copy()
-            for i, c in enumerate(("slots", "number", "rest")):
-                out[c] = pd.Series([(r or none)[i] for r in read], index=out.index, dtype=object)
+            out["number"] = pd.Series(numbers, index=out.index, dtype=object)
+            out["words"] = pd.Series(bags, index=out.index, dtype=object)
             yield out
 
-    return df.select(*keep, *[c for c in ("label", "title") if c not in keep]).mapInPandas(run, kinds + ", slots array<int>, number string, rest string")
+    return df.select(*keep, *[c for c in ("label", "title") if c not in keep]).mapInPandas(run, kinds + ", number string, words array<string>")

@@ -1,116 +1,120 @@
 """Deduplicating new batches against all history by a pivot-distance table.
 
-An event is a point: the concepts of its slots as coordinates and the words no
-slot took as a text. The distance of two points is the weighted sum of the
-differences of their coordinates plus the edit distance of their texts, a true
-metric. The weights exceed the radius, so another concept is always beyond it;
-they are mixed radices, so the distance to a pivot in a corner tells apart
-nearly all combinations of concepts.
-
-The table holds every distinct event of the history once, with its distances to
-three fixed pivots. A batch is compared with it in a join on ranges of the
-first distance; the triangle inequality on all pivots prunes what the ranges
-let through, and the metric itself decides. Accepted rows are appended: the
-history is never read again, and an event told a million times is one row.
+An event is a point: the bag of its words. The distance of two points is the
+number of words one has and the other hasn't, a true metric, so a word that was
+lost, or added, lies within the radius, and another word in place of one lies
+beyond it.
+
+Pivot i is the point that holds every word of hash class i; the pivots are so
+fixed without looking at data. What a point's words add to that distance (the
+words outside the class less those inside; the rest is the same for all points)
+is stored with each point of the history. The differences of two points'
+distances, which is all the triangle inequality uses, are exact.
+
+Classes are disjoint, so the differences of the counts behind all the distances
+add up to no more than the distance of the points. Hence of RADIUS + 1 groups
+of pivots one has equal distances for any two points within the radius: a batch
+is joined with the table on the ranges (of width one) of a group's distances,
+the triangle inequality on the other pivots prunes, and the metric itself
+decides. Accepted points are appended; the history's texts are never read
+again, and an event told a million times is one row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jurisdiff.llm.events import SLOTS, Glossary
-
-#: Events at most this far apart are the same: a slip or two in words outside the glossary.
-RADIUS = 2
-# Coordinates from the smallest vocabulary to the largest, as the radices ask for.
-_ORDER = ("action", "instrument", "sector", "subject", "system", "body")
-# Per pivot the slots in which it stands at the far end; the first pivot is the origin.
-_FAR_ENDS = ((), ("body", "sector", "action"), ("system", "instrument", "body"))
-_POINT = ["country", "number", *(f"c_{s}" for s in _ORDER), "rest"]
+from jurisdiff.session import materialize
 
+#: Events at most this many words apart are the same: a word lost in damage, or one that decorates.
+RADIUS = 1
+#: Pivots of each of the RADIUS + 1 groups.
+GROUP_PIVOTS = 8
+_PIVOTS = GROUP_PIVOTS * (RADIUS + 1)
+_POINT = ["country", "number", "words"]
 
-class Metric:
-    """Weights and extents of the coordinates for one glossary; kept with the table."""
 
-    def __init__(self, glossary: Glossary, radius: int = RADIUS):
-        self.radius = radius
-        self.extent = {s: len(glossary.names[s]) for s in _ORDER}
-        self.weight, w = {}, radius + 1
-        for s in _ORDER:
-            self.weight[s] = w
-            w *= self.extent[s] + 1
+def between(a: Column, b: Column) -> Column:
+    """The distance of two bags of words."""
+    return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
 
-    def to_pivot(self, i: int) -> Column:
-        """Distance of a point to pivot i, whose text is empty."""
-        terms = [F.lit(self.weight[s]).cast("bigint") * ((F.lit(self.extent[s]) - F.col(f"c_{s}")) if s in _FAR_ENDS[i] else F.col(f"c_{s}")) for s in _ORDER]
-        total = F.length("rest").cast("bigint")
-        for t in terms:
-            total = total + t
-        return total
 
-    def between(self, a: str, b: str) -> Column:
-        """The distance of two points."""
-        total = F.levenshtein(F.col(f"{a}.rest"), F.col(f"{b}.rest")).cast("bigint")
-        for s in _ORDER:
-            total = total + F.abs(F.col(f"{a}.c_{s}") - F.col(f"{b}.c_{s}")) * F.lit(self.weight[s]).cast("bigint")
-        return total
+def pivot_distances(classes: Column) -> Column:
+    """Array of the distances to the pivots, as far as they depend on the point. classes: the hash class of each of its words."""
+    inside = lambda i: F.size(F.filter(classes, lambda k: k == i))
+    return F.transform(F.sequence(F.lit(0), F.lit(_PIVOTS - 1)), lambda i: F.size(classes) - 2 * inside(i))
 
 
 def event_points(read: DataFrame) -> DataFrame:
-    """row_key, batch_no, the point's coordinates (0: unknown) and its identity; rows that report no event or no country are left out."""
-    slot = {s: F.col("slots")[i] + 1 for i, s in enumerate(SLOTS)}
-    known = F.greatest(*slot.values()) > 0
-    p = read.where(F.col("country").isNotNull() & (known | (F.col("rest") != ""))).select("row_key", "batch_no", "country", "number", *[slot[s].alias(f"c_{s}") for s in _ORDER], "rest")
+    """row_key, batch_no, country, number, words and the point's identity; rows that report no event or no country are left out."""
+    p = read.where(F.col("country").isNotNull() & (F.size("words") > 0)).select("row_key", F.coalesce("batch_no", F.lit(0)).alias("batch_no"), *_POINT)
     return p.withColumn("point", F.unhex(F.md5(F.to_json(F.struct(*_POINT)))))
 
 
-def pivot_table(points: DataFrame, metric: Metric) -> DataFrame:
-    """Each distinct point once: its smallest row_key and its distances to the pivots."""
-    distinct = points.groupBy("point", *_POINT).agg(F.min("row_key").alias("first_key"))
-    return distinct.select("*", *[metric.to_pivot(i).alias(f"d{i}") for i in range(len(_FAR_ENDS))])
+def pivot_table(points: DataFrame) -> DataFrame:
+    """Each distinct point of a batch once: its smallest row_key and its distances to the pivots."""
+    distinct = points.groupBy("batch_no", "point").agg(F.min("row_key").alias("first_key"), *[F.first(c).alias(c) for c in _POINT])
+    hashed = distinct.withColumn("classes", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(_PIVOTS)).cast("int")))
+    return hashed.withColumn("d", pivot_distances(F.col("classes"))).drop("classes")
+
 
+def _ranged(table: DataFrame) -> DataFrame:
+    """A row a group of pivots, with the hash of the distances in it (their ranges)."""
+    # Distances hold the size of the bag; the count inside the class, which one group must agree on, is half of what is left.
+    inside = F.transform("d", lambda x: (F.size("words") - x) / 2)
+    cells = F.array(*[F.xxhash64(F.lit(g), F.slice(inside, g * GROUP_PIVOTS + 1, GROUP_PIVOTS)) for g in range(RADIUS + 1)])
+    return table.withColumn("cell", F.explode(cells))
 
-def nearest_first(queries: DataFrame, table: DataFrame, metric: Metric) -> DataFrame:
-    """point, first_key: for each query point the smallest row_key among the table's points within the radius.
 
-    Both sides are pivot tables, of distinct points. Points are compared within
-    their country and reference number only, in ranges of the first pivot's
-    distance that are a little wider than twice the radius; a query looks into
-    the one or two ranges its radius reaches.
+def nearest_first(queries: DataFrame, table: DataFrame) -> DataFrame:
+    """point, near_key, same_key: for each query point the smallest first_key of the table's points within the radius, and of those at no distance.
+
+    Points are compared within their country and reference number only.
     """
-    r = metric.radius
-    width = 2 * r + 1
-    cell = lambda c: F.floor(c / width).cast("bigint")
-    q = queries.withColumn("cell", F.explode(F.array_distinct(F.array(cell(F.col("d0") - r), cell(F.col("d0") + r))))).alias("q")
-    t = table.withColumn("cell", cell(F.col("d0"))).alias("t")
+    q = _ranged(queries.select("point", *_POINT, "d")).alias("q")
+    t = _ranged(table.select("first_key", *_POINT, "d")).alias("t")
     same = (F.col("q.country") == F.col("t.country")) & (F.col("q.number") == F.col("t.number")) & (F.col("q.cell") == F.col("t.cell"))
-    for i in range(len(_FAR_ENDS)):
-        same = same & (F.abs(F.col(f"q.d{i}") - F.col(f"t.d{i}")) <= r)
-    near = q.join(t, same).where(metric.between("q", "t") <= r)
-    return near.groupBy(F.col("q.point").alias("point")).agg(F.min("t.first_key").alias("first_key"))
+    for i in range(_PIVOTS):
+        same = same & (F.abs(F.col("q.d")[i] - F.col("t.d")[i]) <= RADIUS)
+    apart = between(F.col("q.words"), F.col("t.words"))
+    near = q.join(t, same).select(F.col("q.point").alias("point"), F.col("t.first_key").alias("k"), apart.alias("apart")).where(F.col("apart") <= RADIUS)
+    return near.groupBy("point").agg(F.min("k").alias("near_key"), F.min(F.when(F.col("apart") == 0, F.col("k"))).alias("same_key"))
 
 
-def repeated_in_batches(points: DataFrame, metric: Metric) -> DataFrame:
-    """row_key_a, row_key_b: rows of the batches (batch_no >= 1) and the first row, of any batch, that reports their event.
+def match_batch(batch: DataFrame, history: DataFrame | None) -> DataFrame:
+    """The batch's table with near_key (the first report of each event, its own rows included) and is_new (the history lacks the point).
 
-    row_key rises with arrival, so one pass over the table of all rows gives
-    what matching and appending batch by batch gives; see match_batch for that.
+    batch: the pivot table of the batch. history: the tables so far, which are
+    joined but never rebuilt; rows of the result with is_new are to be appended.
     """
-    table = pivot_table(points, metric)
-    batches = points.where("batch_no >= 1")
-    first = nearest_first(pivot_table(batches, metric).drop("first_key"), table, metric)
-    return batches.select("row_key", "point").join(first, "point").where("first_key < row_key").select(F.col("first_key").alias("row_key_a"), F.col("row_key").alias("row_key_b"))
+    table = batch if history is None else history.unionByName(batch)
+    found = batch.join(nearest_first(batch, table), "point")
+    return found.withColumn("is_new", F.col("same_key") == F.col("first_key"))
 
 
-def match_batch(batch: DataFrame, history: DataFrame, metric: Metric) -> tuple[DataFrame, DataFrame]:
-    """(duplicates of the batch as row_key_a, row_key_b; rows to append to the history's table).
+def repeated_in_batches(points: DataFrame) -> DataFrame:
+    """row_key_a, row_key_b: rows of the batches (batch_no >= 1) and the first row, of any batch, that reports their event.
 
-    history: the pivot table so far, which is joined but not rebuilt. Rows of
-    the batch are also held against one another. Only points the history
-    doesn't hold yet are to be appended.
+    Batch by batch: each is matched with the stored table and itself, then its
+    new points are appended to the table. row_key rises with arrival.
     """
-    own = pivot_table(batch, metric)
-    first = nearest_first(own.drop("first_key"), history.unionByName(own), metric)
-    dup = batch.select("row_key", "point").join(first, "point").where("first_key < row_key").select(F.col("first_key").alias("row_key_a"), F.col("row_key").alias("row_key_b"))
-    return dup, own.join(history.select("point"), "point", "left_anti")
+    own = materialize(pivot_table(points).sortWithinPartitions("batch_no"), "batch-points")
+    numbers = sorted(r["batch_no"] for r in own.select("batch_no").distinct().collect())
+    stored: list[DataFrame] = []
+    matched: list[DataFrame] = []
+    for b in numbers:
+        batch = own.where(F.col("batch_no") == b)
+        if b < 1:
+            stored.append(batch)  # accepted history: its points only
+            continue
+        found = materialize(match_batch(batch, reduce(DataFrame.unionByName, stored) if stored else None), "batch")
+        stored.append(found.where("is_new").select(*own.columns))
+        matched.append(found.select("batch_no", "point", "near_key"))
+    rows = points.where("batch_no >= 1").select("row_key", "batch_no", "point")
+    if not matched:
+        return rows.select(F.col("row_key").alias("row_key_a"), F.col("row_key").alias("row_key_b")).where("false")
+    first = reduce(DataFrame.unionByName, matched)
+    return rows.join(first, ["batch_no", "point"]).where("near_key < row_key").select(F.col("near_key").alias("row_key_a"), F.col("row_key").alias("row_key_b"))

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jurisdiff.functions.codes import norm_code
-from jurisdiff.llm.events import learn_glossary, read_events
+from jurisdiff.llm.events import learn_lexicon, read_events
 from jurisdiff.llm.garbled import PairModel, find_garbled
 from jurisdiff.llm.leaks import find_leaks
 from jurisdiff.llm.lookalike import alike_pairs
 from jurisdiff.llm.packing import pack_documents, token_sizes
-from jurisdiff.llm.pivots import Metric, event_points, repeated_in_batches
+from jurisdiff.llm.pivots import event_points, repeated_in_batches
 from jurisdiff.llm.splitting import split_documents
 from jurisdiff.session import materialize
 
@@ -52,9 +52,8 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """row_key_a, row_key_b: rows of the weekly batches and the first row that reports their event."""
     u = _updates(spark, sf).select("row_key", "batch_no", norm_code(F.col("country")).alias("country"), F.col("canonical_event").alias("label"), "title")
-    glossary = learn_glossary(u)
-    read = read_events(u, ["row_key", "batch_no", "country"], glossary, PairModel.fit(u.select("title")))
-    return repeated_in_batches(materialize(event_points(read), "points"), Metric(glossary))
+    read = read_events(u, ["row_key", "batch_no", "country"], learn_lexicon(u), PairModel.fit(u.select("title").distinct()))
+    return repeated_in_batches(materialize(event_points(read), "points"))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
