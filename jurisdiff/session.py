@@ -67,6 +67,33 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Appended:
+    """A table in the shared folder that grows by whole batches; a read is one scan of all of them."""
+
+    def __init__(self, spark: SparkSession, tag: str):
+        self.spark, self.schema = spark, None
+        self.path = f"{shared_dir(spark)}/jurisdiff-{os.getpid()}-{uuid.uuid4().hex[:12]}/{tag}"
+
+    def add(self, df: DataFrame, number: int) -> None:
+        """Write one batch; written again it takes the place of the first writing."""
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/part={number}")
+        if self.schema is None:
+            self.schema = df.schema
+            _written.append(self.path)
+
+    def read(self) -> DataFrame | None:
+        """All batches so far; None before the first."""
+        if self.schema is None:
+            return None
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: an input of fewer splits than cores, so a small one, is dealt out before costly work on its rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def purge(spark: SparkSession) -> int:
     """Delete every table written by :func:`materialize`; call it once results are stored."""
     n = 0
