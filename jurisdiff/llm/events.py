@@ -38,7 +38,7 @@ MIN_SHARE = 1e-4
 #: A unit means the words that this share of its rows hold,
 MIN_CHANCE = 0.5
 #: and that are so many times more frequent there than in all rows.
-MIN_LIFT = 3.0
+MIN_LIFT = 1.5
 #: Rows whose pairs are counted at once. Of such a part only pairs of half the chance asked for are passed on: what holds over all rows holds in some part.
 PART_ROWS = 50_000
 

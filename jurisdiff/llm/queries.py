@@ -13,7 +13,7 @@ from jurisdiff.llm.lookalike import alike_pairs
 from jurisdiff.llm.packing import pack_documents, token_sizes
 from jurisdiff.llm.pivots import event_points, repeated_in_batches
 from jurisdiff.llm.splitting import split_documents
-from jurisdiff.session import materialize
+from jurisdiff.session import materialize, spread
 
 
 def _updates(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +51,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """row_key_a, row_key_b: rows of the weekly batches and the first row that reports their event."""
-    u = _updates(spark, sf).select("row_key", "batch_no", norm_code(F.col("country")).alias("country"), F.col("canonical_event").alias("label"), "title")
+    u = spread(_updates(spark, sf).select("row_key", "batch_no", norm_code(F.col("country")).alias("country"), F.col("canonical_event").alias("label"), "title"))
     read = read_events(u, ["row_key", "batch_no", "country"], learn_lexicon(u), PairModel.fit(u.select("title").distinct()))
     return repeated_in_batches(materialize(event_points(read), "points"))
 

@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,17 +42,21 @@ def corpus(spark):
             lab = rnd.choice([None, "", lab.upper(), lab.replace("e", "е"), f"[translated] {lab}", lab.replace(" on ", " on the ", 1)])
         elif rnd.random() < 0.1:
             tit = rnd.choice([None, "", tit + "【速報】"])
+        elif "cranes" not in lab and rnd.random() < 0.05:
+            lab = f"[Cranes] {lab}"  # decorated with a word that elsewhere tells something
         rows.append((k, k // 100, c, lab, tit, "clash", 1))
         truth[k] = (c, e)
     return spark.createDataFrame(rows, "row_key bigint, batch_no int, country string, label string, title string, slots string, point int"), truth
 
 
+def points_of(df, lexicon, model):
+    return materialize(P.event_points(E.read_events(df, ["row_key", "batch_no", "country"], lexicon, model)), "points")
+
+
 @pytest.fixture(scope="module")
-def points(spark, corpus):
+def points(corpus):
     df, truth = corpus
-    glossary = E.learn_glossary(df)
-    read = E.read_events(df, ["row_key", "batch_no", "country"], glossary, PairModel.fit(df.select("title")))
-    return materialize(P.event_points(read), "points"), glossary, truth
+    return points_of(df, E.learn_lexicon(df), PairModel.fit(df.select("title"))), truth
 
 
 def want(truth):
@@ -65,52 +68,80 @@ def want(truth):
     return out
 
 
+def rows(df):
+    return {tuple(r) for r in df.collect()}
+
+
 def test_repeats(points):
-    pts, glossary, truth = points
-    got = {tuple(r) for r in P.repeated_in_batches(pts, P.Metric(glossary)).collect()}
-    assert got == want(truth)
+    pts, truth = points
+    assert rows(P.repeated_in_batches(pts)) == want(truth)
+
+
+def test_a_shuffled_batch_gives_the_same(points, monkeypatch):
+    monkeypatch.setattr(P, "BROADCAST_POINTS", 0)
+    assert rows(P.repeated_in_batches(points[0])) == want(points[1])
+
 
+def test_the_metric_decides(points, monkeypatch):
+    """Some repeats are known only by their distance: points that differ in a word."""
+    pts, truth = points
+    monkeypatch.setattr(P, "between", lambda a, b: F.when(a == b, 0).otherwise(9))
+    fewer = rows(P.repeated_in_batches(pts))
+    assert fewer < want(truth)
 
-def test_batch_by_batch_gives_the_same(points):
-    pts, glossary, truth = points
-    metric = P.Metric(glossary)
-    history = P.pivot_table(pts.where("batch_no = 0"), metric)
+
+def test_other_connecting_words(spark, corpus):
+    df, truth = corpus
+    swap = F.regexp_replace(F.regexp_replace(F.regexp_replace("label", " on ", " regarding "), " of ", " for "), " in ", " across ")
+    other = df.withColumn("label", F.when(F.col("row_key") % 2 == 0, swap).otherwise(F.col("label")))
+    assert rows(P.repeated_in_batches(points_of(other, E.learn_lexicon(other), PairModel.fit(df.select("title"))))) == want(truth)
+
+
+def test_batches_against_history_stored_with_an_older_lexicon(corpus):
+    """Points are made of words: a table stored with the lexicon of batch 0 serves batches read with that of all rows."""
+    df, truth = corpus
+    model = PairModel.fit(df.select("title"))
+    first = df.where("batch_no = 0")
+    history = P.pivot_table(points_of(first, E.learn_lexicon(first), model)).drop("batch_no")
+    later = points_of(df.where("batch_no > 0"), E.learn_lexicon(df), model)
     got = set()
     for b in range(1, 6):
-        dup, new = P.match_batch(pts.where(F.col("batch_no") == b), history, metric)
-        got |= {tuple(r) for r in dup.collect()}
-        history = materialize(history.unionByName(new), "history")
-    assert got == want(truth)
+        batch = later.where(F.col("batch_no") == b)
+        found = materialize(P.match_batch(P.pivot_table(batch).drop("batch_no"), history), "found")
+        got |= rows(batch.join(found.select("point", "near_key"), "point").where("near_key < row_key").select("near_key", "row_key"))
+        history = materialize(history.unionByName(found.where("is_new").select(*history.columns)), "history")
+    assert len(got ^ want(truth)) <= 0.02 * len(want(truth))
 
 
-def test_the_metric_and_its_pivots(points, spark):
-    pts, glossary, _ = points
-    m = P.Metric(glossary)
-    t = P.pivot_table(pts, m)
+def test_the_triangle_inequality(points):
+    t = P.pivot_table(points[0])
     a, b = t.alias("a"), t.orderBy("point").limit(5).alias("b")
-    pairs = a.join(b, F.col("a.country") == F.col("b.country")).select(m.between("a", "b").alias("d"), *[F.abs(F.col(f"a.d{i}") - F.col(f"b.d{i}")).alias(f"p{i}") for i in range(3)], (F.col("a.point") == F.col("b.point")).alias("same"))
-    rows = pairs.collect()
-    assert all(r.d >= max(r.p0, r.p1, r.p2) for r in rows)
+    gap = F.array_max(F.zip_with("a.d", "b.d", lambda x, y: F.abs(x - y)))
+    pairs = a.join(b, F.col("a.country") == F.col("b.country")).select(P.between(F.col("a.words"), F.col("b.words")).alias("d"), gap.alias("gap"), F.size(F.array_intersect("a.ranges", "b.ranges")).alias("shared"), (F.col("a.number") == F.col("b.number")).alias("near")).collect()
+    assert pairs and all(r.d >= r.gap for r in pairs) and all(r.shared for r in pairs if r.d <= P.RADIUS and r.near)
+    assert any(r.d > r.gap for r in pairs) and not all(r.shared for r in pairs)
 
 
 def test_slips_and_unknown_words():
-    g = E.Glossary(pd.DataFrame([("body", "eu", b.casefold(), "", 9) for b in ("euralia senate", "ceska dozorci domio")] + [(s, "", ja, en, 9) for s, v in (("action", ACTS), ("instrument", INS), ("subject", SUB), ("system", SYS), ("sector", SEC)) for en, ja in v], columns=["slot", "country", "ja", "en", "n"]))
-    read = lambda s: g.read(E.folded(s))
-    base = read("Euralia Senate adopts order on logging of court notes in sports (No. 7/26)")
-    for same in ("Court notes in sports: Euralia Senate adopts order on logging (No. 7/26)", "euralia sneate adopts ordr on logging of court notes in sports No 0007-26", "【競技】Euralia Senate：法廷記録・ログ保存についての命令、採択へ（No. 7/26）", "CESKA".lower() and "Euralia Senate、競技分野の法廷記録に関するログ保存の命令を採択（Case 7/26）"):
-        assert read(same)[:2] == base[:2], same
-    assert read("Euralia Senate adopts order on logging of court notes in ports (No. 7/26)")[0] != base[0]
-    assert read("Euralia Senate adopts order on logging of court notes in sports (No. 8/26)")[1] != base[1]
-    assert read("")[0] == [-1] * 6 and min(read("no such words")[0]) == -1
+    pairs = [(en, en, True, True) for b in BODIES for en in E.units_of(E.folded(b))[0]]
+    pairs += [(ja, w, True, True) for v in (ACTS, INS, SUB, SYS, SEC) for en, ja in v for w in en.split() if w not in ("on", "of")]
+    x = E.Lexicon(sorted(set(pairs)), {"対象", "巡", "関"}, {"on", "of", "in", "the"})
+    label = lambda s, t=None: (E.as_bag(x.of_label(E.units_of(E.folded(s))[0], t and x.of_title(E.units_of(E.folded(t))[0]))), E.units_of(E.folded(s))[1])
+    title = lambda s: (E.as_bag(x.of_title(E.units_of(E.folded(s))[0])), E.units_of(E.folded(s))[1])
+    base = label("Euralia Senate adopts treaty on logging of court notes in sports (No. 7/26)")
+    assert label("Court notes in sports: Euralia Senate adopts treaty on logging (No. 7/26)") == base
+    assert label("euralia sneate adopts traety on loging of court notes in sports No 0007-26") == base
+    assert title("【競技】Euralia Senate：法廷記録・ログ保存についての協定、採択へ（No. 7/26）") == base == title("法廷記録ログ保存を巡りEuralia Senateが協定を採択、対象は競技（No. 7/26）")
+    assert label("URGENT Euralia Senate adopts treaty on logging of court notes in sports (No. 7/26)", "Euralia Senateが採択した競技協定 — 法廷記録とログ保存") == base
+    assert label("Euralia Senate adopts treaty on logging of court notes in ports (No. 7/26)") != base
+    assert label("Euralia Senate adopts treaty on logging of court notes in sports (No. 8/26)")[1] != base[1]
+    assert label("") == ([], "") and label("no such words") == (["no", "such", "words"], "") and E.as_bag(["a", "b", "a"]) == ["a", "a#2", "b"]
     assert E.edits("abcd", "abdc", 2) == 1 and E.edits("a", "abcd", 2) == 3 and E.edits("", "", 1) == 0
 
 
 def test_empty_and_null(spark):
     df = spark.createDataFrame([], "row_key bigint, batch_no int, country string, label string, title string")
-    g = E.learn_glossary(df)
-    model = PairModel.fit(df.select("title"))
-    read = lambda d: P.event_points(E.read_events(d, ["row_key", "batch_no", "country"], g, model))
-    assert P.repeated_in_batches(read(df), P.Metric(g)).count() == 0
-    rows = spark.createDataFrame([(1, 0, "eu", None, None), (2, 1, "eu", "", None), (3, 1, None, "x", "x"), (4, 0, "eu", "odd words", None), (5, 1, "eu", "odd word", None), (6, 1, "eu", "other", "x" * 100_000)], df.schema)
-    got = {tuple(r) for r in P.repeated_in_batches(materialize(read(rows), "p"), P.Metric(g)).collect()}
-    assert got == {(4, 5)}
+    x, model = E.learn_lexicon(df), PairModel.fit(df.select("title"))
+    assert P.repeated_in_batches(points_of(df, x, model)).count() == 0
+    some = [(1, 0, "eu", None, None), (2, 1, "eu", "", None), (3, 1, None, "x", "x"), (4, 0, "eu", "three odd words", None), (5, 1, "eu", "three odd words now", None), (6, 1, "eu", "other", "x" * 100_000), (7, 2, "eu", "three odd word", None), (8, None, "eu", "late words", None), (9, 3, "eu", "words late", None)]
+    assert rows(P.repeated_in_batches(points_of(spark.createDataFrame(some, df.schema), x, model))) == {(4, 5), (8, 9)}
