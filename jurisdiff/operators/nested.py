@@ -2,10 +2,12 @@
 
 Every record is brought to one shape, then each object and list entry is hashed
 bottom-up over its canonical JSON, in which nested objects stand as the hashes
-of their subtrees. Equal subtrees therefore have one identity and are stored
-once; every occurrence is kept as a bridge row (record, parent, child, path,
-ordinal). Records are independent, so nothing is shuffled until objects are
-made distinct, and that is aggregated before the exchange.
+of their subtrees. Equal subtrees therefore have one identity and their bodies
+are stored once; every occurrence is kept as a bridge row (record, place, place
+of the parent, identity, path, ordinal). Flat tables are read from the two: an
+occurrence takes its fields from the one object it points to. Records are
+independent, so nothing is shuffled until objects are made distinct, and a task
+passes each body on only once.
 """
 
 from __future__ import annotations
@@ -19,21 +21,53 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BRIDGE_SCHEMA = "record_id bigint, parent_id string, child_id string, node string, pos bigint, filled boolean, is_root boolean, body string"
-#: Nesting beyond this is read as "no complete JSON": it protects the parser's stack.
-MAX_DEPTH = 400
+from jurisdiff.session import materialize
+
+BRIDGE_SCHEMA = "record_id bigint, record_no int, place string, parent_place string, node string, pos bigint, filled boolean, object_id string"
+_ROW_SCHEMA = BRIDGE_SCHEMA + ", body string"
+#: Nesting that is read into objects; what lies deeper is kept as the text it is, under its hash like any value.
+MAX_DEPTH = 200
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]', re.S)
+
+
+def _reject(x):
+    raise ValueError(x)
+
+
+def _without_depths(text: str) -> tuple[str, list[str]]:
+    """(the text with every value nested deeper than MAX_DEPTH as a JSON string of its text, those texts)."""
+    out, deep, at, depth, start = [], [], 0, 0, 0
+    for m in _TOKEN.finditer(text):
+        c = m[0]
+        if c in "[{":
+            depth += 1
+            if depth == MAX_DEPTH + 1:
+                start = m.start()
+        elif c in "]}":
+            if depth == MAX_DEPTH + 1:
+                inner = text[start : m.end()]
+                deep.append(inner)
+                out += [text[at:start], json.dumps(inner)]
+                at = m.end()
+            depth -= 1
+    return "".join([*out, text[at:]]), deep
 
 
 def parse_json(text: str | None):
     """(value, True), or (None, False) if text is null or no complete JSON. One byte-order mark is left aside."""
     if text is None:
         return None, False
-
-    def reject(x):
-        raise ValueError(x)
-
+    text = text[1:] if text[:1] == "\ufeff" else text
     try:
-        return json.loads(text[1:] if text[:1] == "﻿" else text, parse_constant=reject), True
+        if text.count("[") + text.count("{") <= MAX_DEPTH:
+            return json.loads(text, parse_constant=_reject), True
+        shallow, deep = _without_depths(text)
+        value = json.loads(shallow, parse_constant=_reject)
+        while deep:  # what was set apart must be complete as well; each round goes MAX_DEPTH deeper
+            inner, more = _without_depths(deep.pop())
+            json.loads(inner, parse_constant=_reject)
+            deep += more
+        return value, True
     except (ValueError, RecursionError):
         return None, False
 
@@ -51,79 +85,79 @@ def _digest(body: str) -> str:
     return hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def subtree_rows(record_id, record) -> Iterator[tuple]:
-    """Bridge rows of one shaped record; the root's own row comes last and has no parent."""
+def subtree_rows(record_id, record, record_no: int = 0) -> tuple[list[tuple], dict[str, str]]:
+    """(bridge rows of one shaped record, body of each of its objects). The root has the empty place and no parent's; it comes last."""
     rows: list[tuple] = []
+    bodies: dict[str, str] = {}
 
-    def identify(v, path: str, depth: int) -> tuple[str, str]:
-        """(identity, body) of a value; rows of its children are appended."""
-        if depth > MAX_DEPTH:
-            raise RecursionError
+    def stored(body: str) -> str:
+        own = _digest(body)
+        bodies[own] = body
+        return own
+
+    def entry(v, node: str, place: str, parent: str, pos: int) -> dict[str, str]:
+        own = identify(v, node, place)
+        rows.append((record_id, record_no, place, parent, node, pos, not _empty(v), own))
+        return {"@": own}
+
+    def identify(v, node: str, place: str) -> str:
+        if isinstance(v, list):
+            return stored(json.dumps([entry(x, node + "[]", f"{place}[{i}]", place, i) for i, x in enumerate(v)]))
         if not isinstance(v, dict):
-            if isinstance(v, list):
-                pending = [(i, x, *identify(x, path + "[]", depth + 1)) for i, x in enumerate(v)]
-                body = json.dumps([{"@": h} for _, _, h, _ in pending])
-                own = _digest(body)
-                rows.extend((record_id, own, h, path + "[]", i, not _empty(x), False, b) for i, x, h, b in pending)
-                return own, body
-            body = json.dumps(v, ensure_ascii=False, sort_keys=True)
-            return _digest(body), body
-        flat, children = {}, []
+            return stored(json.dumps(v, ensure_ascii=False, sort_keys=True))
+        flat = {}
         for key in sorted(v):
-            x, at = v[key], f"{path}.{key}" if path else key
+            x, at, there = v[key], f"{node}.{key}" if node else key, f"{place}.{key}" if place else key
             if isinstance(x, dict):
-                h, b = identify(x, at, depth + 1)
-                flat[key] = {"@": h}
-                children.append((h, at, 0, not _empty(x), b))
-            elif isinstance(x, list):
-                refs = []
-                for i, y in enumerate(x):
-                    h, b = identify(y, at, depth + 1)
-                    refs.append({"@": h})
-                    children.append((h, at, i, not _empty(y), b))
-                flat[key] = refs
+                flat[key] = entry(x, at, there, place, 0)
             else:
-                flat[key] = x
-        body = json.dumps(flat, ensure_ascii=False, sort_keys=True)
-        own = _digest(body)
-        rows.extend((record_id, own, h, at, i, full, False, b) for h, at, i, full, b in children)
-        return own, body
+                flat[key] = [entry(y, at, f"{there}[{i}]", place, i) for i, y in enumerate(x)] if isinstance(x, list) else x
+        return stored(json.dumps(flat, ensure_ascii=False, sort_keys=True))
 
-    root, body = identify(record, "", 0)
-    rows.append((record_id, None, root, "", 0, not _empty(record), True, body))
-    return iter(rows)
+    rows.append((record_id, record_no, "", None, "", 0, not _empty(record), identify(record, "", "")))
+    return rows, bodies
 
 
-def flatten_records(df: DataFrame, record_id: str, payload: str, shape: Callable[[object], list]) -> DataFrame:
-    """Bridge rows of all records: record_id, parent_id, child_id, node, pos, filled, is_root, body.
+def flatten_records(df: DataFrame, record_id: str, payload: str, shape: Callable[[object], list]) -> tuple[DataFrame, DataFrame]:
+    """(bridge: record_id, record_no, place, parent_place, node, pos, filled, object_id; objects: object_id, body, occurrences), both stored.
 
-    shape: the parsed value -> the records in it, each in one uniform shape. A
-    payload that is null or no complete JSON gives no rows; so does one nested
-    deeper than ``MAX_DEPTH``. Null, "" and {} entries of a list get a row with
-    filled = false and hold their position. A repeated payload gives its rows
-    under each record_id. Further columns of df are ignored.
+    shape: the parsed value -> the records in it, each in one uniform shape;
+    record_no tells those of one payload apart. A payload that is null or no
+    complete JSON gives no rows. Values nested deeper than MAX_DEPTH are kept
+    as texts. Null, "" and {} entries of a list get a row with filled = false
+    and hold their position. A repeated payload gives its rows under each
+    record_id. Further columns of df are ignored.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in BRIDGE_SCHEMA.split(", ")]
+        names = [x.split()[0] for x in _ROW_SCHEMA.split(", ")]
         for pdf in batches:
             out: list[tuple] = []
+            seen: set[str] = set()
             for rid, text in zip(pdf["record_id"].tolist(), pdf["payload"].tolist()):
                 value, ok = parse_json(text if isinstance(text, str) else None)
                 rid = None if pd.isna(rid) else int(rid)
-                try:
-                    for record in shape(value) if ok else ():
-                        out.extend(subtree_rows(rid, record))
-                except RecursionError:
-                    continue
-            yield pd.DataFrame(out, columns=names).astype({"record_id": "Int64", "pos": "int64", "filled": "bool", "is_root": "bool"})
+                for no, record in enumerate(shape(value) if ok else ()):
+                    rows, bodies = subtree_rows(rid, record, no)
+                    for r in rows:
+                        out.append((*r, None if r[-1] in seen else bodies[r[-1]]))  # a body goes along with the first occurrence only
+                        seen.add(r[-1])
+            yield pd.DataFrame(out, columns=names).astype({"record_id": "Int64", "record_no": "int32", "pos": "int64", "filled": "bool"})
 
-    return df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(payload).alias("payload")).mapInPandas(run, BRIDGE_SCHEMA)
+    rows = materialize(df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(payload).alias("payload")).mapInPandas(run, _ROW_SCHEMA), "occurrences")
+    return rows.drop("body"), rows.groupBy("object_id").agg(F.min("body").alias("body"), F.count("*").alias("occurrences"))
 
 
-def distinct_objects(bridge: DataFrame) -> DataFrame:
-    """Every subtree once, with its canonical body and the number of its occurrences."""
-    return bridge.groupBy(F.col("child_id").alias("object_id")).agg(F.min("body").alias("body"), F.count("*").alias("occurrences"))
+def field_table(bridge: DataFrame, objects: DataFrame, node, fields: list[str]) -> DataFrame:
+    """record_id, record_no, place, parent_place, node, pos and the fields of the filled occurrences at some nodes.
+
+    node: condition on the path. A field that is no text is given as JSON; an
+    entry that is itself a text gives it as the first field.
+    """
+    got = [F.get_json_object("body", f"$.{f}").alias(f) for f in fields]
+    got[0] = F.coalesce(F.when(F.startswith("body", F.lit('"')), F.get_json_object(F.concat(F.lit("["), "body", F.lit("]")), "$[0]")), got[0]).alias(fields[0])
+    there = bridge.where(F.col("filled") & node)
+    return there.join(objects, "object_id").select("record_id", "record_no", "place", "parent_place", "node", "pos", *got)
 
 
 # The regulation record: the shape all deliveries are brought to.
@@ -185,10 +219,14 @@ def shape_regulation(value) -> list[dict]:
     return [r]
 
 
-def regulation_nodes(bridge: DataFrame) -> DataFrame:
-    """The child records of regulations: record_id, node, pos. An axis counts if it carries a summary text, an entry if it is filled."""
-    axis = [f"axes.{a}" for a in AXES]
-    entries = [*(f"{a}.sources" for a in axis), "axes.timeline", *(f"diff_vs_eu.{d}" for d in DIFF_LISTS)]
+AXIS_NODES = [f"axes.{a}" for a in AXES]
+ENTRY_NODES = [*(f"{a}.sources" for a in AXIS_NODES), "axes.timeline", *(f"diff_vs_eu.{d}" for d in DIFF_LISTS)]
+
+
+def regulation_nodes(bridge: DataFrame, objects: DataFrame) -> DataFrame:
+    """The child records of regulations: record_id, node, pos. An axis counts if the object it points to carries a summary text, an entry if it is filled."""
     summary = F.regexp_replace(F.get_json_object("body", "$.summary"), r"[\s\x{3000}\x{a0}]+", "")
-    has_text = F.col("filled") & F.coalesce(F.length(summary) > 0, F.lit(False))
-    return bridge.where(F.when(F.col("node").isin(axis), has_text).otherwise(F.col("filled") & F.col("node").isin(entries))).select("record_id", "node", "pos").distinct()
+    telling = objects.where(F.length(summary) > 0).select("object_id")
+    axes = bridge.where(F.col("filled") & F.col("node").isin(AXIS_NODES)).join(telling, "object_id", "left_semi")
+    entries = bridge.where(F.col("filled") & F.col("node").isin(ENTRY_NODES))
+    return axes.select("record_id", "node", "pos").unionByName(entries.select("record_id", "node", "pos")).distinct()

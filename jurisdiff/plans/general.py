@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from jurisdiff.functions.codes import fold_width, norm_code, norm_instant, norm_term, trim_blanks
 from jurisdiff.operators.history import coalesce_history
-from jurisdiff.operators.nested import distinct_objects, flatten_records, regulation_nodes, shape_regulation
+from jurisdiff.operators.nested import AXIS_NODES, DIFF_LISTS, field_table, flatten_records, regulation_nodes, shape_regulation
 from jurisdiff.operators.orphans import orphan_counts, orphan_rows
+from jurisdiff.session import spread
 
 
 def regulation_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,18 +27,49 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return regulation_history(spark, sf).select(F.col("entity").alias("regulation_id"), day("valid_from").alias("valid_from"), F.coalesce(day("valid_to"), F.lit("9999-12-31")).alias("valid_to"))
 
 
-def _bridge(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten_records(spark.read.parquet(f"{sf}/regulation_raw.parquet"), "raw_id", "payload", shape_regulation)
+def flat_regulations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(bridge, objects) of the regulation records as received."""
+    raw = spread(spark.read.parquet(f"{sf}/regulation_raw.parquet").select("raw_id", "payload"))
+    return flatten_records(raw, "raw_id", "payload", shape_regulation)
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """raw_id, node, pos of every child record."""
-    return regulation_nodes(_bridge(spark, sf)).select(F.col("record_id").alias("raw_id"), "node", "pos")
+    return regulation_nodes(*flat_regulations(spark, sf)).withColumnRenamed("record_id", "raw_id")
 
 
 def p2_objects(spark: SparkSession, sf: str) -> DataFrame:
     """The distinct subtrees of all records and how often each occurs."""
-    return distinct_objects(_bridge(spark, sf))
+    return flat_regulations(spark, sf)[1]
+
+
+def p2_bridge(spark: SparkSession, sf: str) -> DataFrame:
+    """Every occurrence of a subtree: its record, its place, that of its parent, its position and the object it is."""
+    return flat_regulations(spark, sf)[0].withColumnRenamed("record_id", "raw_id")
+
+
+def _fields(spark: SparkSession, sf: str, node, fields: list[str], *more) -> DataFrame:
+    return field_table(*flat_regulations(spark, sf), node, fields).select(F.col("record_id").alias("raw_id"), "record_no", "place", "parent_place", *more, *fields)
+
+
+def p2_axes(spark: SparkSession, sf: str) -> DataFrame:
+    """The axes of every record with their texts."""
+    return _fields(spark, sf, F.col("node").isin(AXIS_NODES), ["summary", "detail"], F.substring_index("node", ".", -1).alias("axis"))
+
+
+def p2_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """The sources of the axes; an object gives its url."""
+    return _fields(spark, sf, F.col("node").isin([f"{a}.sources" for a in AXIS_NODES]), ["url"], F.element_at(F.split("node", "[.]"), 2).alias("axis"), "pos")
+
+
+def p2_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The timeline entries of every record."""
+    return _fields(spark, sf, F.col("node") == "axes.timeline", ["date", "event", "source"], "pos")
+
+
+def p2_diffs(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries of the four difference lists."""
+    return _fields(spark, sf, F.col("node").isin([f"diff_vs_eu.{d}" for d in DIFF_LISTS]), ["topic", "note", "source"], F.substring_index("node", ".", -1).alias("list"), "pos")
 
 
 def references(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +105,7 @@ def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
     return orphan_counts(references(spark, sf), reference_targets(spark, sf))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_objects": p2_objects, "p6_found": p6_found, "p6_counts": p6_counts}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p2_axes": p2_axes, "p2_sources": p2_sources, "p2_timeline": p2_timeline, "p2_diffs": p2_diffs, "p6_found": p6_found, "p6_counts": p6_counts}
 
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) != "＇") + "　"
 _PLAIN = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F) if chr(c) != "＇") + " "

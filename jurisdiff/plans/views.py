@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from jurisdiff.functions.codes import norm_code, norm_term
 from jurisdiff.functions.text import first_truthy, format_minute, month_key
 from jurisdiff.functions.values import AXES, AXIS_LABELS, CHANGE_TYPE_LABELS, DEFAULT_TONE, DIFF_KEYS, EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY, STATUS_LABELS, STATUS_TONES
-from jurisdiff.operators.nested import flatten_records, regulation_nodes, shape_regulation
+from jurisdiff.operators.nested import regulation_nodes
 from jurisdiff.operators.ranking import rank_within
 from jurisdiff.operators.validate import exactly_one
-from jurisdiff.plans.general import _code, _term
+from jurisdiff.plans.general import _code, _term, flat_regulations
 from jurisdiff.plans.pipeline import AS_OF, _t
 
 BASELINE = "eu"
@@ -202,7 +202,7 @@ def month_groups(spark, sf):
 
 
 def _nodes(spark, sf):
-    return regulation_nodes(flatten_records(_t(spark, sf, "regulation_raw"), "raw_id", "payload", shape_regulation))
+    return regulation_nodes(*flat_regulations(spark, sf))
 
 
 def diff_counts(spark, sf):

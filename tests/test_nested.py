@@ -5,7 +5,9 @@ import json
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from jurisdiff.operators.nested import AXES, distinct_objects, flatten_records, parse_json, regulation_nodes, shape_regulation, snake, subtree_rows
+from pyspark.sql import functions as F
+
+from jurisdiff.operators.nested import AXES, MAX_DEPTH, field_table, flatten_records, parse_json, regulation_nodes, shape_regulation, snake, subtree_rows
 
 AXIS = {"summary": "s", "sources": ["u", "", None, {"url": "v"}], "review": {"by": "x", "marks": [1]}}
 BASE = {"axes": {"transparency": AXIS, "penalties": "text", "prohibited_uses": {"summary": " "}, "timeline": {"date": "d"}}, "diff_vs_eu": {"stricter": [{}, {"topic": "t"}], "looser": None}}
@@ -15,7 +17,7 @@ WANT = {("axes.transparency", 0), ("axes.transparency.sources", 0), ("axes.trans
 def nodes(spark, payloads):
     df = spark.createDataFrame([(i, p, "clash", 1) for i, p in enumerate(payloads)], "id bigint, payload string, node string, pos int")
     out = {i: set() for i in range(len(payloads))}
-    for r in regulation_nodes(flatten_records(df, "id", "payload", shape_regulation)).collect():
+    for r in regulation_nodes(*flatten_records(df, "id", "payload", shape_regulation)).collect():
         out[r.record_id].add((r.node, r.pos))
     return out
 
@@ -28,17 +30,37 @@ def test_shapes(spark):
 
 
 def test_no_records(spark):
-    deep = '{"axes":' * 3000 + "1" + "}" * 3000
+    deep = '{"axes":' * 3000 + "1" + "}" * 2999
     got = nodes(spark, [None, "", "null", "[]", "3", '"x"', "<html>", json.dumps(BASE)[:-9], '{"axes": NaN}', deep, '{"axes": null, "diff_vs_eu": null}', '{"axes": [], "diff_vs_eu": "no"}'])
     assert all(not v for v in got.values())
 
 
 def test_equal_objects_are_stored_once(spark):
     df = spark.createDataFrame([(1, json.dumps(BASE)), (2, json.dumps(BASE, indent=2)), (3, json.dumps(dict(reversed(BASE.items()))))], "id bigint, payload string")
-    bridge = flatten_records(df, "id", "payload", shape_regulation)
-    assert bridge.where("is_root").select("child_id").distinct().count() == 1
-    objects = {r.object_id: r for r in distinct_objects(bridge).collect()}
-    assert all(r.occurrences % 3 == 0 for r in objects.values()) and len({r.body for r in objects.values()}) == len(objects)
+    bridge, objects = flatten_records(df, "id", "payload", shape_regulation)
+    assert bridge.where("parent_place is null").select("object_id").distinct().count() == 1
+    stored = {r.object_id: r for r in objects.collect()}
+    assert all(r.occurrences % 3 == 0 for r in stored.values()) and len({r.body for r in stored.values()}) == len(stored)
+
+
+def test_records_of_one_payload_stay_apart_and_point_to_their_parents(spark):
+    two = json.dumps([BASE, {"axes": {"timeline": [{"date": "d"}, {"date": "e", "event": "v"}]}}])
+    bridge, objects = flatten_records(spark.createDataFrame([(7, two)], "id bigint, payload string"), "id", "payload", shape_regulation)
+    rows = bridge.collect()
+    places = {(r.record_no, r.place) for r in rows}
+    assert len(places) == len(rows) and all((r.record_no, r.parent_place) in places for r in rows if r.place)
+    entries = field_table(bridge, objects, F.col("node") == "axes.timeline", ["date", "event"]).collect()
+    assert {(r.record_no, r.place, r.parent_place, r.date, r.event) for r in entries} == {(0, "axes.timeline[0]", "axes", "d", None), (1, "axes.timeline[0]", "axes", "d", None), (1, "axes.timeline[1]", "axes", "e", "v")}
+    sources = field_table(bridge, objects, F.col("node") == "axes.transparency.sources", ["url"]).collect()
+    assert {(r.place, r.url) for r in sources} == {("axes.transparency.sources[0]", "u"), ("axes.transparency.sources[3]", "v")}
+
+
+def test_a_field_of_any_depth_keeps_its_record(spark):
+    for levels in (MAX_DEPTH - 2, 450, 20_000):
+        field = '{"x":[' * levels + '"]}{["' + "]}" * levels
+        text = json.dumps({**BASE, "odd": 0}).replace('"odd": 0', f'"odd": {field}')
+        assert nodes(spark, [text])[0] == WANT
+        assert not nodes(spark, [text.replace('"]}{["', "x")])[0] and not nodes(spark, [text[:-1]])[0]
 
 
 JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text(max_size=4), lambda c: st.lists(c, max_size=3) | st.dictionaries(st.text(min_size=1, max_size=3).filter(lambda k: k != "@"), c, max_size=3), max_leaves=12)
@@ -47,15 +69,15 @@ JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text(max
 @settings(max_examples=80, deadline=None)
 @given(st.dictionaries(st.text(min_size=1, max_size=3).filter(lambda k: k != "@"), JSON, max_size=4))
 def test_a_record_can_be_rebuilt(record):
-    rows = list(subtree_rows(1, record))
-    bodies = {r[2]: json.loads(r[7]) for r in rows}
+    rows, bodies = subtree_rows(1, record)
+    bodies = {k: json.loads(v) for k, v in bodies.items()}
 
     def build(v):
         if isinstance(v, dict):
             return build(bodies[v["@"]]) if set(v) == {"@"} else {k: build(x) for k, x in v.items()}
         return [build(x) for x in v] if isinstance(v, list) else v
 
-    assert build(bodies[rows[-1][2]]) == record
+    assert build(bodies[rows[-1][-1]]) == record
 
 
 def test_names_and_parsing():
