@@ -152,10 +152,13 @@ def charset_name(header: Column, head: Column) -> Column:
     return F.lower(F.coalesce(of(header), of(F.substring(head, 1, 2000)), F.lit("utf-8")))
 
 
+# The mark before a page's content in what a reader service returns, and the date line that may follow it.
+READER_MARK, _READER_DATE = "\nMarkdown Content:\n", rf"^{WS}*20\d{{2}}[-/.年]{WS}?\d{{1,2}}[-/.月]{WS}?\d{{1,2}}日?[^\n]*\n"
+
+
 def strip_reader_preamble(c: Column) -> Column:
-    """Text of a page fetched through a reader: what follows the content mark, without a leading date line."""
-    body = F.regexp_replace(c, r"(?s)^.*?\nMarkdown Content:\n", "")
-    return trim_blanks(F.regexp_replace(body, r"^(?:Published Time|Date)[^\n]*\n", ""))
+    """Text of a page fetched through a reader: what follows the content mark (up to a second one), without a leading date line."""
+    return F.regexp_replace(F.coalesce(F.try_element_at(F.split(c, READER_MARK), F.lit(2)), c), _READER_DATE, "")
 
 
 def truncated(c: Column, n: int = LABEL_CHARS) -> Column:

@@ -11,17 +11,18 @@ APPROACHES = ["risk_based", "sectoral", "soft_law"]
 DIFF_KEYS = ["stricter", "looser", "absent", "unique"]
 RUN_STATUS = ["ok", "partial", "failed"]
 
+# Labels.
 AXIS_LABELS = {"risk_classification": "リスク分類", "prohibited_uses": "禁止用途", "gpai_obligations": "汎用AI義務", "transparency": "透明性", "penalties": "罰則", "enforcement_body": "執行体制", "timeline": "タイムライン", "general": "全般"}
 STATUS_LABELS = {"proposed": "提案", "draft": "ドラフト", "consultation": "意見募集", "enacted": "成立", "in_force": "施行中"}
 APPROACH_LABELS = {"risk_based": "リスクベース", "sectoral": "分野別", "soft_law": "ソフトロー"}
 DIFF_LABELS = {"stricter": "EUより厳しい", "looser": "EUより緩い", "absent": "規定なし", "unique": "独自規定"}
 CHANGE_TYPE_LABELS = {"new_regulation": "新規制", "status_change": "ステータス変更", "guideline_draft": "ガイドライン案", "deadline_change": "期限変更", "diff_change": "差分変化", "other": "その他"}
-STATUS_TONES = {"in_force": "border-diff-looser text-diff-looser", "enacted": "border-star-gold text-star-gold", "consultation": "border-diff-unique text-diff-unique", "draft": "border-paper/40 text-paper/70", "proposed": "border-paper/40 text-paper/70"}
-DEFAULT_TONE = "border-paper/40 text-paper/70"
 
 # The words of which an article must hold one, as substrings without regard to case.
 KEYWORDS = ["AI", "人工知能", "artificial intelligence", "regulation", "regulatory", "規制", "法", "法律", "act", "guideline", "guidance", "ガイドライン", "policy", "政策", "compliance", "施行", "罰則", "透明性", "リスク"]
+# Phrases of pages that only ask for scripts or cookies.
 BLOCKED_PHRASES = ["enable javascript", "please enable javascript", "cookie consent", "accept all cookies"]
+# Placeholders, limits.
 EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY = "該当なし", "なし", "—"
 
 MIN_BODY_CHARS = 600

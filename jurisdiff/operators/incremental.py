@@ -42,3 +42,8 @@ def page_step(pages: DataFrame, hashes: DataFrame) -> tuple[DataFrame, DataFrame
 def run_status(outcomes: DataFrame) -> DataFrame:
     """successes, failures and the run's status: partial if all failed and some did, else ok. outcomes: ok."""
     return outcomes.agg(F.count_if(F.col("ok")).alias("successes"), F.count_if(~F.coalesce("ok", F.lit(False))).alias("failures")).withColumn("status", F.when((F.col("failures") > 0) & (F.col("successes") == 0), "partial").otherwise("ok"))
+
+
+def run_meta(outcomes: DataFrame, now: str, crashed: bool = False) -> DataFrame:
+    """last_sweep, status of a run, as stored at its end: ``failed`` if it broke off, else the status of its outcomes; one without outcomes is ok."""
+    return run_status(outcomes).select(F.lit(now).alias("last_sweep"), F.when(F.lit(crashed), "failed").otherwise(F.col("status")).alias("status"))

@@ -29,13 +29,13 @@ def country_anchor(country: Column, axis: Column) -> Column:
 
 
 def build_updates(records: DataFrame) -> DataFrame:
-    """Update rows from extracted records. records: seq, id, country, url, axis, change_type, title, what, who, when_impact, detail, so_what, diff_changed, diff_note, canonical_event, publication_date, effective_date, deadline_date."""
+    """Update rows from extracted records. records: seq, id, country, url, axis, change_type, title, what, who, when_impact, detail, so_what, diff_changed, diff_note, canonical_event, publication_date, effective_date, deadline_date. A record without an event's name takes its title, uncut."""
     return records.select(
         "id", F.col("publication_date").alias("date"), "country", "axis", "change_type", truncated(F.col("title")).alias("title"),
         F.struct(*[truncated(F.col(c)).alias(c) for c in ("what", "who", "when_impact")]).alias("summary"),
         F.nullif(F.col("detail"), F.lit("")).alias("detail"), "so_what",
         F.struct(F.coalesce("diff_changed", F.lit(False)).alias("diff_changed"), F.coalesce("diff_note", F.lit("")).alias("diff_note")).alias("impact"),
-        "canonical_event", "publication_date", "effective_date", "deadline_date", F.array("url").alias("sources"), country_anchor(F.col("country"), F.col("axis")).alias("country_anchor"),
+        F.coalesce(F.nullif("canonical_event", F.lit("")), "title").alias("canonical_event"), "publication_date", "effective_date", "deadline_date", F.array("url").alias("sources"), country_anchor(F.col("country"), F.col("axis")).alias("country_anchor"),
         F.substring("publication_date", 1, 7).alias("month"),
     )
 
@@ -86,6 +86,23 @@ def insert_absent(existing: DataFrame, seeds: DataFrame, key: str) -> DataFrame:
     return existing.unionByName(seeds.join(existing, key, "left_anti"), allowMissingColumns=True)
 
 
+def with_current(records: DataFrame, current: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(usable records with the row they change, the others with their reason). records: usable (null: yes); current: one row a key.
+
+    A record that was found unusable is dropped under the fixed reason; one
+    whose row is missing fails by itself and stops no other.
+    """
+    joined = records.join(current.withColumn("_there", F.lit(True)), key, "left")
+    reason = F.when(~F.coalesce("usable", F.lit(True)), "gemini-unusable").when(F.col("_there").isNull(), "missing-regulation")
+    judged = joined.withColumn("reason", reason).drop("_there")
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+
+
+def seed_regulations(codes: DataFrame, now: str) -> DataFrame:
+    """jurisdiction and the flat fields of an empty regulation, proposed and soft, for each code."""
+    return codes.select(F.col("code").alias("jurisdiction"), F.lit("").alias("regulation_name"), F.lit("proposed").alias("status"), F.lit("soft_law").alias("approach"), F.lit(now).alias("last_checked"), F.lit(now).alias("last_changed"))
+
+
 def work_items(kind: str, rows: DataFrame, title: Column, body: Column) -> DataFrame:
     """title, body, labels of queued work; producers are united, none overwrites another's."""
     return rows.select(title.alias("title"), body.alias("body"), F.array(F.lit(kind)).alias("labels"))

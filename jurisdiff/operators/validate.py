@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from jurisdiff.functions.text import is_ymd
 from jurisdiff.functions.values import APPROACHES, CHANGE_TYPES, LABEL_CHARS, RUN_STATUS, STATUS_ORDER, UPDATE_AXES
 
+# Patterns and fields of the record schemas.
 UPDATE_ID = r"^\d{4}-\d{2}-\d{2}-[a-z]{2}-\d{3}$"
 _UPDATE_REQUIRED = ("id", "date", "country", "axis", "change_type", "title", "summary", "so_what", "impact", "sources", "country_anchor")
 
@@ -33,7 +34,7 @@ def update_rules() -> list[tuple[str, str, Column]]:
     rules += [("id", "pattern", _has(col("id")) & ~col("id").rlike(UPDATE_ID)), ("country", "pattern", _has(col("country")) & ~col("country").rlike("^[a-z]{2}$"))]
     rules += [(c, "pattern", _has(col(c)) & ~is_ymd(col(c))) for c in ("date", "publication_date", "effective_date", "deadline_date")]
     rules += [("axis", "enum", _has(col("axis")) & ~col("axis").isin(UPDATE_AXES)), ("change_type", "enum", _has(col("change_type")) & ~col("change_type").isin(CHANGE_TYPES))]
-    rules += [("title", "minLength", _has(col("title")) & (F.length("title") < 1)), ("so_what", "minLength", _has(col("so_what")) & (F.length("so_what") < 1))]
+    rules += [(c, "minLength", _has(col(c)) & (F.length(c) < 1)) for c in ("title", "so_what", "canonical_event")]
     rules += [(c, "maxLength", _long(col(c), LABEL_CHARS)) for c in ("title", "summary.what", "summary.who", "summary.when_impact")]
     rules += [("sources", "minItems", _has(col("sources")) & (F.size("sources") < 1))]
     rules += [("sources", "format", _has(col("sources")) & F.exists("sources", lambda u: F.try_parse_url(u, F.lit("PROTOCOL")).isNull()))]

@@ -1,13 +1,8 @@
-"""Queries of the ingestion pipeline over the driver's tables, each with its SQL where SQL can say it.
-
-DuckDB has no compatibility normal form, so queries held against SQL compare
-labels without it (``compat=False``). The pipeline's own form of each of them is
-the query of the same name with ``_compat`` behind it, which has no SQL.
-"""
+"""Queries of the ingestion pipeline over the driver's tables, each with its SQL where SQL can say it."""
 
 from __future__ import annotations
 
-from functools import partial
+import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +27,8 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _label(compat: bool = False):
-    return event_label(first_truthy(F.col("canonical_event"), F.col("title")), compat)
+def _label():
+    return event_label(first_truthy(F.col("canonical_event"), F.col("title")))
 
 
 def _priority():
@@ -52,9 +47,9 @@ def normalize_url_q(spark, sf):
 
 
 def url_first_wins(spark, sf):
-    """The update that names each source first."""
-    u = _t(spark, sf, "updates").select("row_key", F.posexplode("sources").alias("pos", "url"))
-    kept, _ = first_per_url(u.withColumn("seq", F.col("row_key") * 1000 + F.col("pos")))
+    """The update that names each source, in its normal form, first."""
+    u = _t(spark, sf, "updates").select("row_key", F.posexplode("sources").alias("pos", "source"))
+    kept, _ = first_per_url(u.select("row_key", normalize_url(F.col("source")).alias("url"), F.struct("row_key", "pos").alias("seq")))
     return kept.select("url", "row_key")
 
 
@@ -86,31 +81,26 @@ def event_labels(spark, sf):
     return _t(spark, sf, "updates").select("row_key", _label().alias("label"))
 
 
-def event_labels_compat(spark, sf):
-    """The same with compatibility forms folded, as the pipeline uses it."""
-    return _t(spark, sf, "updates").select("row_key", _label(True).alias("label"))
-
-
-def _items(spark, sf, compat=False):
+def _items(spark, sf):
     code = norm_code(F.col("country"))
     u = _t(spark, sf, "updates")
-    return u.select(F.col("row_key").alias("seq"), F.when(code.isNotNull(), F.array(code)).alias("countries"), F.lit(None).cast("string").alias("country_hint"), _priority().alias("priority"), _label(compat).alias("label"), "batch_no")
+    return u.select(F.col("row_key").alias("seq"), F.when(code.isNotNull(), F.array(code)).alias("countries"), F.lit(None).cast("string").alias("country_hint"), _priority().alias("priority"), _label().alias("label"), "batch_no")
 
 
-def event_dedupe(spark, sf, compat=False):
+def event_dedupe(spark, sf):
     """One update per country and event label, in the order of the label's first update."""
-    return dedupe_events(_items(spark, sf, compat))[0].select(F.col("seq").alias("row_key"), "cc", "label", F.col("out_seq"))
+    return dedupe_events(_items(spark, sf))[0].select(F.col("seq").alias("row_key"), "cc", "label", F.col("out_seq"))
 
 
-def event_dedupe_drops(spark, sf, compat=False):
-    return dedupe_events(_items(spark, sf, compat))[1].select(F.col("seq").alias("row_key"), "cc", "reason")
+def event_dedupe_drops(spark, sf):
+    return dedupe_events(_items(spark, sf))[1].select(F.col("seq").alias("row_key"), "cc", "reason")
 
 
-def existing_event_antijoin(spark, sf, compat=False):
+def existing_event_antijoin(spark, sf):
     """Batch updates whose event the last 90 days of accepted ones don't hold, and the others with their reason."""
     u = _t(spark, sf, "updates").where("batch_no = 0").withColumn("country", norm_code(F.col("country")))
-    known = existing_event_keys(u, _label(compat), AS_OF, RECENCY_DAYS)
-    kept, drops = dedupe_events(_items(spark, sf, compat).where("batch_no >= 1"), known)
+    known = existing_event_keys(u, _label(), AS_OF, RECENCY_DAYS)
+    kept, drops = dedupe_events(_items(spark, sf).where("batch_no >= 1"), known)
     return kept.select(F.col("seq").alias("row_key"), F.lit("kept").alias("outcome")).unionByName(drops.select(F.col("seq").alias("row_key"), F.col("reason").alias("outcome")))
 
 
@@ -157,7 +147,7 @@ def build_update(spark, sf):
     u = _t(spark, sf, "updates").withColumn("cc", norm_code(F.col("country")))
     records = u.select("id", F.col("cc").alias("country"), F.col("sources")[0].alias("url"), "axis", "change_type", "title", "summary.what", "summary.who", "summary.when_impact", "detail", "so_what", "impact.diff_changed", "impact.diff_note", "canonical_event", "publication_date", "effective_date", "deadline_date")
     b = build_updates(records)
-    return b.select("id", "date", "title", F.col("summary.what").alias("what"), "detail", F.col("impact.diff_note").alias("diff_note"), F.col("sources")[0].alias("source"), "country_anchor", "month")
+    return b.select("id", "date", "country", "axis", "change_type", "title", *[F.col(f"summary.{c}").alias(c) for c in ("what", "who", "when_impact")], "detail", "so_what", "impact.diff_changed", "impact.diff_note", "canonical_event", "publication_date", "effective_date", "deadline_date", F.col("sources")[0].alias("source"), "country_anchor", "month")
 
 
 def _feeds(spark, sf):
@@ -207,9 +197,9 @@ def news_urls(spark, sf):
     return _t(spark, sf, "country").select("ord", F.posexplode("news_queries").alias("pos", "q")).select("ord", F.col("pos").cast("bigint").alias("pos"), news_search_url(F.col("q"), NEWS_PREFIX, NEWS_SUFFIX).alias("url"))
 
 
-def existing_titles_q(spark, sf, compat=False):
-    """Titles and labels of the last 60 days, as the classifier is given them (with compat)."""
-    return existing_titles(_t(spark, sf, "updates").withColumnRenamed("id", "uid").withColumnRenamed("row_key", "id"), AS_OF, LIST_DAYS, F.coalesce(F.nullif("canonical_event", F.lit("")), event_label(F.col("title"), compat))).select(F.col("id").alias("row_key"), "title", "label")
+def existing_titles_q(spark, sf):
+    """Titles and labels of the last 60 days, as the classifier is given them."""
+    return existing_titles(_t(spark, sf, "updates").withColumnRenamed("id", "uid").withColumnRenamed("row_key", "id"), AS_OF, LIST_DAYS, F.coalesce(F.nullif("canonical_event", F.lit("")), event_label(F.col("title")))).select(F.col("id").alias("row_key"), "title", "label")
 
 
 def _patches(spark, sf):
@@ -270,11 +260,9 @@ def json_props(spark, sf):
     return _t(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-COMPAT = {f"{name}_compat": partial(f, compat=True) for name, f in (("event_dedupe", event_dedupe), ("event_dedupe_drops", event_dedupe_drops), ("existing_event_antijoin", existing_event_antijoin), ("existing_titles", existing_titles_q))}
-
-QUERIES = COMPAT | {
+QUERIES = {
     "strip_html": strip_html_q, "normalize_url": normalize_url_q, "url_first_wins": url_first_wins, "mechanical_gate": mechanical_gate_q, "gate_histogram": gate_histogram, "gate_drops": gate_drops,
-    "publication_gate": publication_gate, "publication_histogram": publication_histogram, "event_labels": event_labels, "event_labels_compat": event_labels_compat, "event_dedupe": event_dedupe, "event_dedupe_drops": event_dedupe_drops,
+    "publication_gate": publication_gate, "publication_histogram": publication_histogram, "event_labels": event_labels, "event_dedupe": event_dedupe, "event_dedupe_drops": event_dedupe_drops,
     "existing_event_antijoin": existing_event_antijoin, "verdict_join": verdict_join, "country_whitelist": country_whitelist, "priority_topk": priority_topk, "over_cap": over_cap, "id_allocation": id_allocation, "month_partition": month_partition,
     "build_update": build_update, "feed_high_water": feed_high_water, "feed_late_drops": feed_late_drops, "feed_marks": feed_marks, "page_hash_change": page_hash_change, "page_hashes": page_hashes, "sources_enum": sources_enum, "news_urls": news_urls,
     "existing_titles": existing_titles_q, "status_merge": status_merge, "status_regress": status_regress, "timeline_merge": timeline_merge, "touch_last_checked": touch_last_checked, "overlay_read": overlay_read,
@@ -282,7 +270,16 @@ QUERIES = COMPAT | {
 }
 
 _strip = lambda c: rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '(?is)<script\b[^>]*>.*?</script>', '', 'g'), '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '<[^>]+>', ' ', 'g'), '{_B}+', ' ', 'g'))"""
-_sql_label = lambda c: rf"""substring(trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce({c}, '')), 'https?://{_B.replace("[", "[^", 1)}+', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' +', ' ', 'g')), 1, 120)"""
+_FOLDS = {c: n for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]) if (n := unicodedata.normalize("NFKC", c)) != unicodedata.normalize("NFC", c)}
+_list = lambda xs: "['" + "', '".join(x.replace("'", "''") for x in xs) + "']"
+#: The compatibility form in SQL, from the character data: each character by its own form, then all composed.
+_nfkc = lambda c: f"case when regexp_matches({c}, '[^\\x00-\\x7f]') then nfc_normalize(list_aggregate(list_transform(regexp_extract_all({c}, '(?s).'), lambda x: coalesce(map({_list(_FOLDS)}, {_list(_FOLDS.values())})[x], x)), 'string_agg', '')) else {c} end"
+_sql_label = lambda c: rf"""substring(trim(regexp_replace(regexp_replace(regexp_replace({_nfkc(f"lower(coalesce({c}, ''))")}, 'https?://{_B.replace("[", "[^", 1)}+', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' +', ' ', 'g')), 1, 120)"""
+_normal = lambda source, key: rf"""a as (select {key}, url, regexp_replace(url, '#.*$', '') u from {source}),
+b as (select {key}, url, regexp_replace(regexp_replace(regexp_replace(u, '([?&])utm_source=[^&]*', '\1', 'g'), '([?&])utm_medium=[^&]*', '\1', 'g'), '([?&])utm_campaign=[^&]*', '\1', 'g') u from a),
+c as (select {key}, url, regexp_replace(regexp_replace(regexp_replace(u, '&&+', '&', 'g'), '\?&', '?', 'g'), '[?&]$', '') u from b),
+d as (select {key}, url, u, lower(regexp_extract(u, '^(?i:https?)://[^/?]+')) o, regexp_replace(u, '^(?i:https?)://[^/?]+', '') rest from c),
+n as (select {key}, url, case when o = '' then url else regexp_replace(regexp_replace(o, '^(http://[^/]*):80$', '\1'), '^(https://[^/]*):443$', '\1') || case when rest = '' then '/' when rest like '?%' then '/' || rest else rest end end url_norm from d)"""
 _ROW_LABEL = _sql_label("coalesce(nullif(canonical_event, ''), nullif(title, ''))")
 _LISTED = " or ".join(f"contains(l, lower('{k}'))" for k in KEYWORDS)
 _GATE = f"""gate as (
@@ -318,7 +315,7 @@ _VU = _rule("row_key", "updates", [
     *[(c, "pattern", rf"not regexp_matches({c}, '^\d{{4}}-\d{{2}}-\d{{2}}$')") for c in ("date", "publication_date", "effective_date", "deadline_date")],
     ("axis", "enum", "axis not in ('risk_classification', 'prohibited_uses', 'gpai_obligations', 'transparency', 'penalties', 'enforcement_body', 'timeline', 'general')"),
     ("change_type", "enum", "change_type not in ('new_regulation', 'status_change', 'guideline_draft', 'deadline_change', 'diff_change', 'other')"),
-    ("title", "minLength", "length(title) < 1"), ("so_what", "minLength", "length(so_what) < 1"),
+    ("title", "minLength", "length(title) < 1"), ("so_what", "minLength", "length(so_what) < 1"), ("canonical_event", "minLength", "length(canonical_event) < 1"),
     *[(c, "maxLength", f"length({c}) > 120") for c in ("title", "summary.what", "summary.who", "summary.when_impact")],
     ("sources", "minItems", "len(sources) < 1"), ("sources", "format", "len(list_filter(sources, lambda u: not regexp_matches(coalesce(u, ''), '^[A-Za-z][A-Za-z0-9+.-]*:'))) > 0"),
 ])
@@ -331,14 +328,11 @@ _VS = _rule("snapshot_key", "regulation_snapshots", [
 
 ORACLES = {
     "strip_html": f"select doc_id, length(t) n_chars, sha256(t) digest from (select doc_id, {_strip('text')} t from documents)",
-    "normalize_url": r"""with a as (select doc_id, url, regexp_replace(url, '#.*$', '') u from documents where url is not null),
-b as (select doc_id, url, regexp_replace(regexp_replace(regexp_replace(u, '([?&])utm_source=[^&]*', '\1', 'g'), '([?&])utm_medium=[^&]*', '\1', 'g'), '([?&])utm_campaign=[^&]*', '\1', 'g') u from a),
-c as (select doc_id, url, regexp_replace(regexp_replace(regexp_replace(u, '&&+', '&', 'g'), '\?&', '?', 'g'), '[?&]$', '') u from b),
-d as (select doc_id, url, u, lower(regexp_extract(u, '^(?i:https?)://[^/?]+')) o, regexp_replace(u, '^(?i:https?)://[^/?]+', '') rest from c)
-select doc_id, case when o = '' then url else regexp_replace(regexp_replace(o, '^(http://[^/]*):80$', '\1'), '^(https://[^/]*):443$', '\1') || case when rest = '' then '/' when rest like '?%' then '/' || rest else rest end end url_norm,
-  lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) host, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) in ('news.google.com', 'news.url.google.com') or lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) like '%.news.google.com' is_news from d""",
-    "url_first_wins": """select url, arg_min(row_key, seq) row_key from (select row_key, unnest(sources) url, row_key * 1000 + generate_subscripts(sources, 1) seq from updates) where coalesce(url, '') <> ''
-  and lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) not in ('news.google.com', 'news.url.google.com') group by 1""",
+    "normalize_url": f"""with {_normal("documents where url is not null", "doc_id")}
+select doc_id, url_norm, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) host, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) in ('news.google.com', 'news.url.google.com') or lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) like '%.news.google.com' is_news from n""",
+    "url_first_wins": f"""with {_normal("(select struct_pack(r := row_key, p := pos) k, url from (select row_key, unnest(sources) url, generate_subscripts(sources, 1) pos from updates))", "k")}
+select url_norm url, arg_min(k.r, k) row_key from n where coalesce(url_norm, '') <> ''
+  and lower(regexp_extract(url_norm, '^[A-Za-z]+://([^/?#:]+)', 1)) not in ('news.google.com', 'news.url.google.com') and lower(regexp_extract(url_norm, '^[A-Za-z]+://([^/?#:]+)', 1)) not like '%.news.google.com' group by 1""",
     "mechanical_gate": f"with {_GATE} select doc_id, reason from gate",
     "gate_histogram": f"with {_GATE} " + _HIST.format("gate"),
     "gate_drops": f"with {_GATE} select coalesce(url, '') url, reason, nullif(country, '') country from gate where reason is not null",
@@ -362,7 +356,8 @@ used as (select regexp_extract(id, '^(.*-)(\d+)$', 1) prefix, max(try_cast(regex
 k as (select row_key, n.prefix, coalesce(m, 0) + row_number() over (partition by n.prefix order by row_key) q from n left join used using (prefix) where n.prefix is not null)
 select row_key, prefix || case when length(cast(q as varchar)) < 3 then lpad(cast(q as varchar), 3, '0') else cast(q as varchar) end id from k""",
     "month_partition": 'select publication_date[1:7] as "month", count(*) n from updates group by 1',
-    "build_update": f"""select id, publication_date date, title[1:120] title, summary.what[1:120] what, nullif(detail, '') detail, coalesce(impact.diff_note, '') diff_note, sources[1] source,
+    "build_update": f"""select id, publication_date date, {_code("country")} country, axis, change_type, title[1:120] title, summary.what[1:120] what, summary.who[1:120] who, summary.when_impact[1:120] when_impact, nullif(detail, '') detail, so_what,
+  coalesce(impact.diff_changed, false) diff_changed, coalesce(impact.diff_note, '') diff_note, coalesce(nullif(canonical_event, ''), title) canonical_event, publication_date, effective_date, deadline_date, sources[1] source,
   '/country/' || {_code("country")} || '/#axis-' || case when axis in ('timeline', 'general') then 'risk_classification' else axis end country_anchor, publication_date[1:7] as "month" from updates""",
     "feed_high_water": f"with {_MARKS} select event_id from j where published > mark",
     "feed_late_drops": f"with {_MARKS} select event_id from j where not coalesce(published > mark, false)",

@@ -59,7 +59,7 @@ def regulation_sources(regulations: DataFrame) -> DataFrame:
     return regulations.select("jurisdiction", F.array_distinct(present).alias("sources"))
 
 
-def copy_reports(countries: DataFrame, regulations: DataFrame, footer: str = "") -> DataFrame:
+def copy_reports(countries: DataFrame, regulations: DataFrame, footer: Column | None = None) -> DataFrame:
     """code, report: the text to copy from a country's page; the baseline has none."""
     topics = {DIFF_LABELS[k]: F.transform(_entries(f"diff_vs_eu.{k}", _DIFF), lambda d: d["topic"]) for k in DIFF_KEYS}
     r = countries.join(regulations.where(~F.coalesce("is_baseline", F.lit(False))), F.col("code") == F.col("jurisdiction"))
@@ -103,3 +103,9 @@ def issues(records: DataFrame, regress: DataFrame, failures: DataFrame) -> DataF
 def bad_status(meta: DataFrame) -> DataFrame:
     """The run's metadata if its status isn't ok."""
     return meta.where(~F.col("status").eqNullSafe("ok"))
+
+
+def untriaged(candidates: DataFrame) -> DataFrame:
+    """The work item of a run whose classifier failed: how many candidates were skipped."""
+    n = candidates.agg(F.count("*").alias("n"))
+    return work_items("needs-review", n, F.lit("Classification failed"), F.concat(F.col("n").cast("string"), F.lit(" candidates skipped")))

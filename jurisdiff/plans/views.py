@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jurisdiff.functions.codes import norm_code, norm_term
 from jurisdiff.functions.text import first_truthy, format_minute, month_key
-from jurisdiff.functions.values import AXES, AXIS_LABELS, CHANGE_TYPE_LABELS, DEFAULT_TONE, DIFF_KEYS, EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY, STATUS_LABELS, STATUS_TONES
+from jurisdiff.functions.values import AXES, AXIS_LABELS, CHANGE_TYPE_LABELS, DIFF_KEYS, EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY, STATUS_LABELS
 from jurisdiff.operators.nested import regulation_nodes
 from jurisdiff.operators.ranking import rank_within
 from jurisdiff.operators.validate import exactly_one
@@ -73,12 +73,16 @@ def matrix(countries: DataFrame, cells: DataFrame) -> DataFrame:
     return grid.withColumn("place", F.row_number().over(Window.orderBy(F.when(F.col("code") == BASELINE, 0).otherwise(1), "ord")))
 
 
-def text_report(name: Column, checked: Column, regulation: Column, status: Column, topics: dict[str, Column], sources: Column, footer: str = "") -> Column:
-    """The plain-text report of one regulation: header, name and state, a line per list, sources."""
+# The text to copy from a country's page; its wording must not change.
+REPORT_HEAD, REPORT_CHECKED, REPORT_NAME, REPORT_STATE, REPORT_END, REPORT_SOURCES = "のAI規制とEU AI Actの差分】", "時点", "規制名: ", "（状態: ", "）", "出典: "
+
+
+def text_report(name: Column, checked: Column, regulation: Column, status: Column, topics: dict[str, Column], sources: Column, footer: Column | None = None) -> Column:
+    """The plain-text report of one regulation: header, name and state, a line per list, sources, and the site's own last line if given."""
     listed = lambda c: F.when(F.size(F.coalesce(c, F.array().cast("array<string>"))) > 0, F.array_join(c, "、")).otherwise(EMPTY_REPORT)
-    lines = [F.concat(F.lit("【"), name, F.lit("】"), F.substring(checked, 1, 10)), F.concat(regulation, F.lit("（"), status, F.lit("）"))]
+    lines = [F.concat(F.lit("【"), name, F.lit(REPORT_HEAD), F.substring(checked, 1, 10), F.lit(REPORT_CHECKED)), F.concat(F.lit(REPORT_NAME), regulation, F.lit(REPORT_STATE), status, F.lit(REPORT_END))]
     lines += [F.concat(F.lit(f"■ {title}: "), listed(c)) for title, c in topics.items()]
-    lines += [F.concat(F.lit("出典: "), F.array_join(F.coalesce(sources, F.array().cast("array<string>")), " ")), *([F.lit(footer)] if footer else [])]
+    lines += [F.concat(F.lit(REPORT_SOURCES), F.array_join(F.coalesce(sources, F.array().cast("array<string>")), " ")), *([] if footer is None else [footer])]
     return F.concat_ws("\n", *lines)
 
 
@@ -184,9 +188,9 @@ def recent_markers(spark, sf):
 
 
 def status_bar(spark, sf):
-    """Each regulation's last known state: label, tone, last delivery."""
+    """Each regulation's last known state: label and last delivery."""
     s = _t(spark, sf, "regulation_snapshots").groupBy("regulation_id").agg(F.max_by(norm_term(F.col("status")), F.struct("snapshot_at", "snapshot_key")).alias("status"), F.max("snapshot_at").alias("at"))
-    return s.select("regulation_id", label_of(F.col("status"), STATUS_LABELS).alias("label"), label_of(F.col("status"), STATUS_TONES, F.lit(DEFAULT_TONE)).alias("tone"), format_minute(F.col("at")).alias("seen"))
+    return s.select("regulation_id", label_of(F.col("status"), STATUS_LABELS).alias("label"), format_minute(F.col("at")).alias("seen"))
 
 
 def snapshot_countries(spark, sf):
@@ -250,7 +254,7 @@ select row_key, {_pick("axis", AXIS_LABELS, "axis")} axis_label, {_pick("change_
     "source_union": f"""with l as (select row_number() over () r, ord, list_concat(coalesce({_urls("official_sources")}, []), coalesce({_urls("watch_feeds")}, [])) l from country)
 select ord, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') sources from l""",
     "topic_join": f"select ord, {_join('news_queries', '、', EMPTY_LIST)} topics from country",
-    "country_report": f"""select ord, '【' || coalesce(nullif(name_ja, ''), nullif(name_en, ''), code) || '】' || strftime(added_at at time zone 'UTC', '%Y-%m-%d') || chr(10) || coalesce(name_en, '') || '（' || code || '）' || chr(10)
+    "country_report": f"""select ord, '【' || coalesce(nullif(name_ja, ''), nullif(name_en, ''), code) || 'のAI規制とEU AI Actの差分】' || strftime(added_at at time zone 'UTC', '%Y-%m-%d') || '時点' || chr(10) || '規制名: ' || coalesce(name_en, '') || '（状態: ' || code || '）' || chr(10)
   || '■ official: ' || {_join(_urls("official_sources"), '、', EMPTY_REPORT)} || chr(10) || '■ news: ' || {_join("news_queries", '、', EMPTY_REPORT)} || chr(10) || '出典: ' || coalesce(array_to_string({_urls("watch_feeds")}, ' '), '') report from country""",
     "timeline": f"""with {_U}, {_TL} select row_key, country, "day", kind, "day" > '{AS_OF}' is_future from tl where "day" is not null""",
     "timeline_years": f"""with {_U}, {_TL} select "day"[1:4] as "year", count(*) n, count(*) filter (where "day" > '{AS_OF}') ahead from tl where "day" is not null group by 1""",
@@ -261,7 +265,7 @@ select c.code, c.ord, {", ".join(f"nullif(count(*) filter (where axis = '{a}'),
     "recent_markers": f"""with {_U}, l as (select country, max(ingested_at) t from u group by 1), m as (select ord, lat, lng, coalesce(epoch_us(timestamptz '{AS_OF} 00:00:00+00') - epoch_us(t) < 604800000000, false) recent from country left join l on l.country = {_code("code")})
 select ord, lat, lng, recent, case when recent then 0.1::double else 0.05::double end size from m""",
     "status_bar": f"""with s as (select regulation_id, arg_max(struct_pack(v := {_term("status")}), (snapshot_at, snapshot_key)).v status, max(snapshot_at) t from regulation_snapshots group by 1)
-select regulation_id, {_pick("status", STATUS_LABELS, "status")} as label, {_pick("status", STATUS_TONES, f"'{DEFAULT_TONE}'")} tone, strftime(t at time zone 'UTC', '%Y-%m-%d %H:%M UTC') seen from s""",
+select regulation_id, {_pick("status", STATUS_LABELS, "status")} as label, strftime(t at time zone 'UTC', '%Y-%m-%d %H:%M UTC') seen from s""",
     "snapshot_countries": f"""with n as (select {_code("jurisdiction")} code, count(distinct regulation_id) n from regulation_snapshots group by 1) select c.code, coalesce(n, 0) regulations from (select distinct {_code("code")} code from country) c left join n using (code)""",
     "month_groups": """select date[1:7] as "month", row_key, cast(row_number() over (partition by date[1:7] order by date desc, row_key) as integer) place from updates""",
     "validate_xor": """select raw_id from regulation_raw where json_valid(payload) and json_extract(case when json_valid(payload) then payload end, '$.axes') is not null

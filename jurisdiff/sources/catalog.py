@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -59,14 +58,13 @@ class Catalog:
 
     def countries(self) -> DataFrame:
         """The configured jurisdictions in file order (``ord``); the configuration is small and read by the driver."""
-        path = Path(self.root.removeprefix("file://")) / "countries.json"
-        yaml_path = path.with_suffix(".yaml")
-        if yaml_path.exists():
+        text = lambda path: self.spark.read.option("wholetext", True).text(path).first()[0]
+        if self._exists(f"{self.root}/countries.yaml"):
             import yaml
 
-            rows = yaml.safe_load(yaml_path.read_text("utf-8"))["countries"]
+            rows = yaml.safe_load(text(f"{self.root}/countries.yaml"))["countries"]
         else:
-            rows = json.loads(path.read_text("utf-8"))["countries"]
+            rows = json.loads(text(f"{self.root}/countries.json"))["countries"]
         names = [x.split()[0] for x in COUNTRY.split(", ")]
         return self.spark.createDataFrame([tuple({"ord": i, **r}.get(n) for n in names) for i, r in enumerate(rows)], COUNTRY)
 
@@ -74,8 +72,10 @@ class Catalog:
         """The regulation of one jurisdiction."""
         return self.json("regulations").where(F.col("jurisdiction") == code)
 
-    def regulations(self) -> DataFrame:
-        """Regulations of the configured jurisdictions, in their order."""
+    def regulations(self, complete: bool = True) -> DataFrame:
+        """Regulations of the configured jurisdictions, in their order. complete: one that is missing is an error (the configuration is small)."""
+        if complete and (lost := [r["code"] for r in self.countries().join(self.json("regulations"), F.col("code") == F.col("jurisdiction"), "left_anti").select("code").collect()]):
+            raise FileNotFoundError(f"no regulation of {', '.join(sorted(lost))} in {self.root}")
         return self.countries().join(self.json("regulations"), F.col("code") == F.col("jurisdiction")).orderBy("ord")
 
     def updates(self) -> DataFrame:

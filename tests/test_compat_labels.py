@@ -1,4 +1,4 @@
-"""Event queries with compatibility forms folded, held against brute force."""
+"""Event queries fold compatibility forms; held against brute force."""
 
 import re
 import unicodedata
@@ -37,9 +37,9 @@ def test_full_and_half_width_labels_are_one_event(spark, tmp_path):
     df.selectExpr("*", "cast(row_key as string) id").coalesce(1).write.parquet(f"{tmp_path}/updates.parquet")
     rows = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
     kept, dropped = dedupe(ROWS)
-    assert {(r.row_key, r.cc.upper(), r.label) for r in rows("event_dedupe_compat")} == kept and len(kept) == 6
-    assert {r.row_key for r in rows("event_dedupe_drops_compat")} == dropped
+    assert {(r.row_key, r.cc.upper(), r.label) for r in rows("event_dedupe")} == kept and len(kept) == 6
+    assert {r.row_key for r in rows("event_dedupe_drops")} == dropped
     kept, dropped = dedupe([r for r in ROWS if r[5]], {(r[1], label(r[3] or r[4])) for r in ROWS if not r[5]})
-    got = {r.row_key: r.outcome for r in rows("existing_event_antijoin_compat")}
+    got = {r.row_key: r.outcome for r in rows("existing_event_antijoin")}
     assert {k for k, o in got.items() if o == "kept"} == {r[0] for r in kept} and {k for k, o in got.items() if o != "kept"} == dropped
-    assert {r.row_key: r.label for r in rows("existing_titles_compat")} == {r[0]: r[3] or label(r[4]) for r in ROWS}
+    assert {r.row_key: r.label for r in rows("existing_titles")} == {r[0]: r[3] or label(r[4]) for r in ROWS}

@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF, normal
-from jurisdiff.plans import general, pipeline, views
+from jurisdiff.plans import general, landed, pipeline, views
 
-CORE = {k: f for m in (general, pipeline, views) for k, f in m.QUERIES.items()}
-SQL = {k: q for m in (general, pipeline, views) for k, q in m.ORACLES.items()}
+CORE = {k: f for m in (general, pipeline, views, landed) for k, f in m.QUERIES.items()}
+SQL = {k: q for m in (general, pipeline, views, landed) for k, q in m.ORACLES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

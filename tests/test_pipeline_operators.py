@@ -124,6 +124,8 @@ def test_dated_links(spark):
     assert [(t, u) for _, t, u in got] == [("Rule of 2026-08-01", "https://site.example/a"), ("Notice", "https://h.example/d"), ("E", "https://site.example/e")]
     many = "".join(f'<a href="/{i}">2026-01-01</a>' for i in range(30))
     assert len(links.dated_links(many, "https://s.example/")) == 20
+    blanks = "".join(f'<a href="/{i}">D{i}</a>{d}{far}' for i, d in enumerate(("2026年\u30008月\u30001日", "2026.\u00a08.\n1", "Jul\u00a022, 2026", "2026 8 1")))
+    assert [t for _, t, _ in links.dated_links(blanks, "https://s.example/")] == ["D0", "D1", "D2"]
     md = "[A](/a 'x') [B](/b) 2026年8月1日 ![i](/p.png) [j](javascript:x) [C](http://[bad)"
     assert [u for *_, u in links.dated_links(md, "https://s.example/", True)] == ["https://s.example/b"]
     pages = spark.createDataFrame([("https://s.example/", many, False), ("https://t.example/", None, False), ("https://u.example/", "plain", True)], "url string, text string, via_reader boolean")
@@ -141,16 +143,16 @@ def test_text_functions(spark):
         assert one(spark, X.resolve_url, href, "https://h.x/d/p?z#y") == want
     assert one(spark, lambda c: X.news_search_url(c, "p", "s"), "AI 規制 ~'()!*") == "pAI%20%E8%A6%8F%E5%88%B6%20~'()!*s"
     assert one(spark, X.charset_name, None, '<meta charset="Shift_JIS">') == "shift_jis" and one(spark, X.charset_name, "text/html; charset=EUC-JP", "") == "euc-jp" and one(spark, X.charset_name, None, None) == "utf-8"
-    assert one(spark, X.strip_reader_preamble, "Title: x\n\nMarkdown Content:\nDate: today\n body ") == "body"
+    assert one(spark, X.strip_reader_preamble, "Title: x\n2026-01-01\n\nMarkdown Content:\n2026年 8月1日 10:00\n body ") == " body "
     assert one(spark, lambda c: X.content_hash(c), "")[:8] == "e3b0c442"
 
 
 def test_validation(spark):
-    schema = "id string, date string, country string, axis string, change_type string, title string, summary struct<what:string,who:string,when_impact:string>, so_what string, impact struct<diff_changed:boolean,diff_note:string>, sources array<string>, country_anchor string, publication_date string, effective_date string, deadline_date string"
-    good = ("2026-01-01-eu-001", "2026-01-01", "eu", "general", "other", "t", ("a", "b", "c"), "s", (True, None), ["https://x.y"], "/c", None, None, "2026-13-45")
-    bad = ("x", None, "EU", "odd", "odd", "t" * 121, ("a", None, "c" * 121), "", (None, None), [], None, "1", None, None)
+    schema = "id string, date string, country string, axis string, change_type string, title string, summary struct<what:string,who:string,when_impact:string>, so_what string, impact struct<diff_changed:boolean,diff_note:string>, sources array<string>, country_anchor string, publication_date string, effective_date string, deadline_date string, canonical_event string"
+    good = ("2026-01-01-eu-001", "2026-01-01", "eu", "general", "other", "t", ("a", "b", "c"), "s", (True, None), ["https://x.y"], "/c", None, None, "2026-13-45", None)
+    bad = ("x", None, "EU", "odd", "odd", "t" * 121, ("a", None, "c" * 121), "", (None, None), [], None, "1", None, None, "")
     got = validate.violations(spark.createDataFrame([good, bad], schema), "id", validate.update_rules()).collect()
-    assert {(r.path, r.rule) for r in got} == {("id", "pattern"), ("date", "required"), ("country", "pattern"), ("axis", "enum"), ("change_type", "enum"), ("title", "maxLength"), ("summary.who", "required"), ("summary.when_impact", "maxLength"), ("so_what", "minLength"), ("impact.diff_changed", "required"), ("sources", "minItems"), ("country_anchor", "required"), ("publication_date", "pattern")}
+    assert {(r.path, r.rule) for r in got} == {("id", "pattern"), ("date", "required"), ("country", "pattern"), ("axis", "enum"), ("change_type", "enum"), ("title", "maxLength"), ("summary.who", "required"), ("summary.when_impact", "maxLength"), ("so_what", "minLength"), ("impact.diff_changed", "required"), ("sources", "minItems"), ("country_anchor", "required"), ("publication_date", "pattern"), ("canonical_event", "minLength")}
     raw = spark.createDataFrame([(1, '{"a": {"b": 1, "x": 2}, "y": [{"q": 1}]}'), (2, "no"), (3, None)], "k int, p string")
     assert sorted(r.path for r in validate.unknown_properties(raw, "k", "p", {"": {"a"}, "a": {"b"}}).collect()) == ["a.x", "y"]
     assert [r.valid for r in validate.meta_is_valid(spark.createDataFrame([("t", "ok"), (None, "ok"), ("t", "odd"), ("t", None)], "last_sweep string, status string")).collect()] == [True, False, False, False]
@@ -166,7 +168,9 @@ def test_catalog(spark, tmp_path):
     (tmp_path / "regulations" / "jp.json").write_text('{"jurisdiction": "jp", "status": "draft", "axes": {"penalties": {"summary": "s"}}}', "utf-8")
     c = catalog.Catalog(spark, str(tmp_path), str(tmp_path / "dry"))
     assert [r.id for r in c.updates().collect()] == ["b", "a"] and c.json("meta").first().status == "ok" and c.json("hashes").count() == 0
-    assert [r.code for r in c.regulations().collect()] == ["jp"] and c.regulation("eu").count() == 0
+    assert [r.code for r in c.regulations(complete=False).collect()] == ["jp"] and c.regulation("eu").count() == 0
+    with pytest.raises(FileNotFoundError, match="eu"):
+        c.regulations()
     assert [tuple(r)[2:6] for r in catalog.enumerate_sources(c.countries()).collect()] == [("official_sources", 0, 0, "u"), ("news_queries", 2, 0, "q r")]
     base = spark.createDataFrame([(1, "b"), (2, "b")], "k int, v string")
     base.write.parquet(str(tmp_path / "tbl"))

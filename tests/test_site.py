@@ -39,7 +39,7 @@ def test_country_page(tables):
     assert tuple(page["sizes"].first())[1:] == (2, 0, 0, 1)
     assert [(r.date, r.is_future) for r in page["timeline"].collect()] == [("2030-01-01", True), ("2026-01-01", False)]
     assert page["sources"].first().sources == ["s1", "s2", "s3", "s4"]
-    assert page["report"].first().report == "【日本】2026-08-02\nR（成立）\n■ EUより厳しい: x、y\n■ EUより緩い: なし\n■ 規定なし: なし\n■ 独自規定: z\n出典: s1 s4"
+    assert page["report"].first().report == "【日本のAI規制とEU AI Actの差分】2026-08-02時点\n規制名: R（状態: 成立）\n■ EUより厳しい: x、y\n■ EUより緩い: なし\n■ 規定なし: なし\n■ 独自規定: z\n出典: s1 s4"
     assert [r.id for r in page["updates"].collect()] == ["a", "d"]
     assert all(df.count() == 0 for df in site.country_page(*tables, "zz", "2026-08-05").values())
     assert site.country_page(*tables, "eu", "2026-08-05")["report"].count() == 0
