@@ -23,14 +23,18 @@ from pyspark.sql import functions as F
 
 from jurisdiff.session import materialize
 
-# Letters of other scripts and the Latin, Han or Katakana letter each looks like
-# (a selection from the Unicode confusables data, in code point order).
+# Letters of Greek, Cyrillic, Armenian, Latin extensions, Cherokee, Coptic and Lisu and the
+# Latin letter each looks like. Styled letters (mathematical, wide, small and the like) follow by rule, see _SAME_LOOK.
 LOOKALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "α": "a", "γ": "y", "ι": "i", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j", "Ϲ": "C",
     "Ѕ": "S", "І": "I", "Ј": "J", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ѵ": "v", "Ү": "Y", "һ": "h", "Ӏ": "l", "ԁ": "d", "ԛ": "q", "Ԛ": "Q", "ԝ": "w", "Ԝ": "W",
     "ɑ": "a", "ɡ": "g", "ɩ": "i", "ı": "i", "ȷ": "j", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g",
+    "Ԍ": "G", "ӏ": "l", "Լ": "L", "Օ": "O", "Ս": "U", "Տ": "S", "գ": "q", "զ": "q",
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G", "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮤ": "W", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏻ": "G", "Ᏼ": "B",
+    "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+    "ꓐ": "B", "ꓑ": "P", "ꓒ": "d", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
 }
 
 # Han characters and the Katakana each looks like; they change beside Katakana only.
@@ -42,7 +46,7 @@ HIRAGANA_KATAKANA = {"へ": "ヘ", "べ": "ベ", "ぺ": "ペ", "り": "リ"}
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁤⁦-⁯ㅤ︀-️﻿ﾠ"
 BLANK = "\t\n\u000b\u000c\r\u0085    -     　"
 # Compatibility forms that look like what they decompose to; circled, raised and squared forms do not.
-_SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<noBreak>", "<small>", "<vertical>")
+_SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<noBreak>", "<small>", "<vertical>", "<font>")
 
 
 _HIGH = re.compile("[\U00010000-\U0010ffff]")  # kept apart: a class within one plane is searched by table
@@ -84,24 +88,27 @@ def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
 
 
 def _settle_kana(s: str) -> str:
-    """Han, Hiragana and Katakana of one look become the one their neighbours call for."""
-    for _ in range(len(s)):
-        out, at = [], 0
-        for m in _patterns()[3].finditer(s):
-            i, c = m.start(), m[0]
-            before, after = s[i - 1 : i] in _KANA, s[i + 1 : i + 2] in _KANA
-            new = HAN_KATAKANA.get(c) if before or after else None
-            if c in HIRAGANA_KATAKANA and before and after:
-                new = HIRAGANA_KATAKANA[c]
-            elif c in _KATA_MAP and not before and not after:
-                new = _KATA_MAP[c]
-            if new:
-                out += [s[at:i], new]
-                at = i + 1
-        if not out:
+    """Han, Hiragana and Katakana of one look become the one their neighbours call for: passes left to right and back until none changes."""
+    places = [m.start() for m in _patterns()[3].finditer(s)]
+    if not places:
+        return s
+    text = list(s)
+    for _ in range(4):  # what spreads does so in one pass of its direction; marks of both scripts side by side settle in the next ones
+        changed = False
+        for order in (places, reversed(places)):
+            for i in order:
+                c = text[i]
+                before, after = i > 0 and text[i - 1] in _KANA, i + 1 < len(text) and text[i + 1] in _KANA
+                new = HAN_KATAKANA.get(c) if before or after else None
+                if c in HIRAGANA_KATAKANA and before and after:
+                    new = HIRAGANA_KATAKANA[c]
+                elif c in _KATA_MAP and not before and not after:
+                    new = _KATA_MAP[c]
+                if new:
+                    text[i], changed = new, True
+        if not changed:
             break
-        s = "".join([*out, s[at:]])
-    return s
+    return "".join(text)
 
 
 @lru_cache(1 << 16)
@@ -172,6 +179,19 @@ def alike_pairs(rows: DataFrame) -> DataFrame:
     return both.select("field", F.least("ka", "kb").alias("row_key_a"), F.greatest("ka", "kb").alias("row_key_b")).where("row_key_a < row_key_b")
 
 
+def alike_classes(rows: DataFrame) -> DataFrame:
+    """field, row_key, class_key, forms, members: every row of a class of texts that look alike but differ, by the class's smallest row_key.
+
+    The same classes as alike_pairs, in one row a member instead of a row a
+    pair. rows as there.
+    """
+    keyed = canonical_column(rows.where("text is not null and grp is not null"), "text", "form")
+    base = materialize(keyed.select("field", "row_key", digest_group(), F.unhex(F.md5("text")).alias("t")), "forms")
+    texts = base.groupBy("field", "g", "t").agg(F.count("*").alias("n"), F.min("row_key").alias("k"))
+    classes = texts.groupBy("field", "g").agg(F.min("k").alias("class_key"), F.count("*").alias("forms"), F.sum("n").alias("members")).where("forms > 1")
+    return base.join(classes, ["field", "g"]).select("field", "row_key", "class_key", "forms", "members")
+
+
 def digest_group():
     """Identity of a group and canonical form, in 16 bytes."""
     return F.unhex(F.md5(F.concat_ws("\x00", F.col("grp").cast("string"), F.col("form")))).alias("g")

@@ -29,28 +29,41 @@ ROUNDS = 3
 KEPT_FILL = 0.995
 
 
-def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """No packing of the sizes (each 1..capacity) needs fewer containers: the best of two families of dual feasible functions."""
+def lower_bound(sizes: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """No packing of the sizes (each 1..capacity, as often as counts says) needs fewer containers: the best of two families of dual feasible functions."""
     if not len(sizes):
         return 0
-    x = np.sort(np.asarray(sizes, dtype=np.int64))
-    total = np.r_[0, np.cumsum(x)]
+    order = np.argsort(sizes, kind="stable")
+    x = np.asarray(sizes, dtype=np.int64)[order]
+    many = np.ones(len(x), np.int64) if counts is None else np.asarray(counts, dtype=np.int64)[order]
+    total, number = np.r_[0, np.cumsum(x * many)], np.r_[0, np.cumsum(many)]
     best = -(-int(total[-1]) // capacity)
     # Sizes under e count nothing, those over capacity - e count as the whole capacity.
     for e in np.unique(x[x <= capacity // 2]):
         lo, hi = np.searchsorted(x, e, "left"), np.searchsorted(x, capacity - e, "right")
-        best = max(best, int(-(-(int(total[hi] - total[lo]) + int(len(x) - hi) * capacity) // capacity)))
-    big = int((x > capacity // 2).sum())
-    best = max(best, big)
+        best = max(best, int(-(-(int(total[hi] - total[lo]) + int(number[-1] - number[hi]) * capacity) // capacity)))
+    best = max(best, int(many[x > capacity // 2].sum()))
     # Rounded to parts of 1 / k, which favours sizes just over such a part.
     for k in range(2, 12):
         scaled = x * (k + 1)
         exact = scaled % capacity == 0
         value = np.where(exact, x * k, (scaled // capacity) * capacity)
-        best = max(best, int(-(-int(value.sum()) // (capacity * k))))
+        best = max(best, int(-(-int((value * many).sum()) // (capacity * k))))
     return best
 
 
+def packing_bounds(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """parts, containers, bound, gap of a packing: how many containers it takes, no fewer than how many any packing of these parts takes, the difference.
+
+    Parts without tokens and containers that hold nothing else don't count.
+    There are at most as many sizes as the capacity, so their counts are small.
+    """
+    sizes = packed.where("tokens > 0").groupBy("tokens").count().orderBy("tokens").collect()
+    bound = lower_bound(np.array([r["tokens"] for r in sizes], np.int64), capacity, np.array([r["count"] for r in sizes], np.int64))
+    n = packed.where("tokens > 0").agg(F.count("*").alias("parts"), F.count_distinct("container").alias("containers"))
+    return n.select("parts", "containers", F.lit(bound).cast("bigint").alias("bound"), (F.col("containers") - F.lit(bound)).alias("gap"))
+
+
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Container number of each size: the largest first, each where the least room is left that holds it."""
     where = np.zeros(len(sizes), dtype=np.int64)

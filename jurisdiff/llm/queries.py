@@ -9,8 +9,8 @@ from jurisdiff.functions.codes import norm_code
 from jurisdiff.llm.events import learn_lexicon, read_events
 from jurisdiff.llm.garbled import PairModel, find_garbled
 from jurisdiff.llm.leaks import find_leaks
-from jurisdiff.llm.lookalike import alike_pairs
-from jurisdiff.llm.packing import pack_documents, token_sizes
+from jurisdiff.llm.lookalike import alike_classes, alike_pairs
+from jurisdiff.llm.packing import pack_documents, packing_bounds, token_sizes
 from jurisdiff.llm.pivots import event_points, repeated_in_batches
 from jurisdiff.llm.splitting import split_documents
 from jurisdiff.session import materialize, spread
@@ -41,12 +41,22 @@ def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
     return garbled_fields(spark, sf).withColumnRenamed("key", "row_key")
 
 
-def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """field, row_key_a, row_key_b: labels or titles of one country that differ but read the same; damaged titles take no part."""
+def _comparable(spark: SparkSession, sf: str) -> DataFrame:
+    """field, grp, row_key, text of the labels and titles; damaged titles take no part."""
     u = _updates(spark, sf)
     damaged = find_garbled(u, "row_key", {"title": "title"}, _pair_model(u)).select(F.col("key").alias("row_key"))
     of = lambda df, c: df.select(F.lit(c).alias("field"), norm_code(F.col("country")).alias("grp"), "row_key", F.col(c).alias("text"))
-    return alike_pairs(of(u, "canonical_event").unionByName(of(u.join(damaged, "row_key", "left_anti"), "title")))
+    return of(u, "canonical_event").unionByName(of(u.join(damaged, "row_key", "left_anti"), "title"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """field, row_key_a, row_key_b: labels or titles of one country that differ but read the same; damaged titles take no part."""
+    return alike_pairs(_comparable(spark, sf))
+
+
+def p4_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as classes: every row with the first row of its class, and how many forms and rows that has."""
+    return alike_classes(_comparable(spark, sf))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,18 +72,23 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, item_id: documents that hold an evaluation item or a long passage of it."""
-    return find_leaks(_documents(spark, sf), "doc_id", "text", spark.read.parquet(f"{sf}/eval_items.parquet"), "item_id", "text").select("doc_id", "item_id")
+    return find_leaks(spread(_documents(spark, sf)), "doc_id", "text", spark.read.parquet(f"{sf}/eval_items.parquet"), "item_id", "text").select("doc_id", "item_id")
 
 
 def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document, or part of an oversized one, with its container of 4,096 tokens."""
-    return pack_documents(token_sizes(_documents(spark, sf), "doc_id", "text"))
+    return pack_documents(token_sizes(spread(_documents(spark, sf)), "doc_id", "text"))
+
+
+def p7_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers of that packing, the bound no packing goes below, and the gap."""
+    return packing_bounds(materialize(p7_packing(spark, sf), "packing"))
 
 
 def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """The pieces of at most 512 tokens of every longer document, each with 32 tokens of the one before."""
-    return split_documents(_documents(spark, sf), "doc_id", "text")
+    return split_documents(spread(_documents(spark, sf)), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p5_found": p5_found, "p7_packing": p7_packing, "p8_found": p8_found, "p9_pieces": p9_pieces}
+QUERIES = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_classes": p4_classes, "p5_found": p5_found, "p7_packing": p7_packing, "p7_bounds": p7_bounds, "p8_found": p8_found, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}

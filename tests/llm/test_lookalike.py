@@ -6,7 +6,7 @@ from collections import defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from jurisdiff.llm.lookalike import alike_pairs, canonical
+from jurisdiff.llm.lookalike import alike_classes, alike_pairs, canonical
 
 
 def test_same_look():
@@ -38,7 +38,12 @@ def test_pairs_against_brute_force(spark):
     df = spark.createDataFrame(rows, "field string, grp string, row_key bigint, text string, form string, salt int")
     got = [tuple(r) for r in alike_pairs(df).collect()]
     assert len(got) == len(set(got)) and set(got) == want
-    assert alike_pairs(df.limit(0)).count() == 0
+    assert alike_pairs(df.limit(0)).count() == 0 == alike_classes(df.limit(0)).count()
+    classes = {}
+    for (f, *_), v in groups.items():
+        if len({t for _, t in v}) > 1:
+            classes |= {(f, k): (min(v)[0], len({t for _, t in v}), len(v)) for k, _ in v}
+    assert {(r.field, r.row_key): (r.class_key, r.forms, r.members) for r in alike_classes(df).collect()} == classes
 
 
 def test_hot_text_is_salted(spark, monkeypatch):
@@ -48,3 +53,18 @@ def test_hot_text_is_salted(spark, monkeypatch):
     rows = [("x", "eu", i, "Senate" if i % 10 else "Ｓenate") for i in range(60)]
     got = {tuple(r)[1:] for r in alike_pairs(spark.createDataFrame(rows, "field string, grp string, row_key bigint, text string")).collect()}
     assert got == {(min(a, b), max(a, b)) for a in range(0, 60, 10) for b in range(60) if b % 10}
+
+
+def test_letters_of_many_scripts_and_styles():
+    for s in ("ꓢenate", "Ꮪenate", "𝖲𝖾𝗇𝖺𝗍𝖾", "𝐒𝐞𝐧𝐚𝐭𝐞", "Տenate"):
+        assert canonical(s) == "Senate", s
+    assert canonical("ӏⲟɡ") == "log" and canonical("ꓮꓲ") == "AI" == canonical("ᎪI")
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    t = time.perf_counter()
+    for n in (20_000, 200_000):
+        assert canonical("二" * n + "ア") == "ニ" * n + "ア" and canonical("ア" + "へり" * n)
+    assert time.perf_counter() - t < 5

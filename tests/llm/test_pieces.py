@@ -98,3 +98,18 @@ def test_packing_small(spark):
 def test_sizes(spark):
     df = spark.createDataFrame([(1, EN), (2, None), (3, "")], "id bigint, text string")
     assert {r.doc_id: r.tokens for r in P.token_sizes(df, "id", "text").collect()} == {1: count(EN, DEFAULT_TOKENIZER), 2: 0, 3: 0}
+
+
+def test_bounds_of_a_packing(spark):
+    import random
+
+    from jurisdiff.llm.packing import lower_bound, pack_documents, packing_bounds
+
+    rnd = random.Random(4)
+    sizes = [rnd.randrange(0, 250) for _ in range(400)]
+    packed = pack_documents(spark.createDataFrame(list(enumerate(sizes)), "doc_id bigint, tokens bigint"), 100, 50)
+    r = packing_bounds(packed, 100).first()
+    parts = [x.tokens for x in packed.where("tokens > 0").collect()]
+    assert r.parts == len(parts) and r.containers == packed.where("tokens > 0").select("container").distinct().count()
+    assert r.bound == lower_bound(np.array(parts), 100) and r.gap == r.containers - r.bound >= 0
+    assert tuple(packing_bounds(packed.limit(0), 100).first()) == (0, 0, 0, 0)
