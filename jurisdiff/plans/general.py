@@ -74,19 +74,17 @@ def p2_diffs(spark: SparkSession, sf: str) -> DataFrame:
 
 def references(spark: SparkSession, sf: str) -> DataFrame:
     """src_table, field, dim, key, at, row_key of every reference; an anchor refers to a country and perhaps to an axis."""
-    u = spark.read.parquet(f"{sf}/updates.parquet").select("row_key", "country", "country_anchor", F.col("ingested_at").alias("at"))
-    s = spark.read.parquet(f"{sf}/regulation_snapshots.parquet")
     anchor = F.nullif(trim_blanks(fold_width(F.col("country_anchor"))), F.lit(""))
-    country = norm_code(F.regexp_extract(anchor, r"/country/([^/#?]*)", 1))
-    axis = F.nullif(F.lower(trim_blanks(F.regexp_extract(anchor, r"#axis-([^/#?&]*)", 1))), F.lit(""))
-    ref = lambda df, table, field, dim, key, row_key="row_key": df.select(F.lit(table).alias("src_table"), F.lit(field).alias("field"), F.lit(dim).alias("dim"), key.alias("key"), "at", F.col(row_key).alias("row_key"))
-    named = u.where(anchor.isNotNull())
-    return (
-        ref(u, "updates", "country", "country", norm_code(F.col("country")))
-        .unionByName(ref(named, "updates", "country_anchor", "country", F.coalesce(country, F.lit(""))))
-        .unionByName(ref(named, "updates", "country_anchor", "axis", axis))
-        .unionByName(ref(s.withColumn("at", F.col("snapshot_at")), "regulation_snapshots", "jurisdiction", "country", norm_code(F.col("jurisdiction")), "snapshot_key"))
-    )
+    u = spark.read.parquet(f"{sf}/updates.parquet").select("row_key", "country", anchor.alias("anchor"), F.col("ingested_at").alias("at"))
+    country = norm_code(F.regexp_extract("anchor", r"/country/([^/#?]*)", 1))
+    axis = F.nullif(F.lower(trim_blanks(F.regexp_extract("anchor", r"#axis-([^/#?&]*)", 1))), F.lit(""))
+    one = lambda field, dim, key: F.struct(F.lit(field).alias("field"), F.lit(dim).alias("dim"), key.alias("key"))
+    named = F.when(F.col("anchor").isNotNull(), F.coalesce(country, F.lit("")))
+    # One scan gives the up to three references of a row.
+    several = u.select("at", "row_key", F.explode(F.array(one("country", "country", norm_code(F.col("country"))), one("country_anchor", "country", named), one("country_anchor", "axis", axis))).alias("r"))
+    of = lambda df, table: df.select(F.lit(table).alias("src_table"), "r.field", "r.dim", "r.key", "at", "row_key").where("key is not null")
+    s = spark.read.parquet(f"{sf}/regulation_snapshots.parquet").select(F.col("snapshot_at").alias("at"), F.col("snapshot_key").alias("row_key"), one("jurisdiction", "country", norm_code(F.col("jurisdiction"))).alias("r"))
+    return of(several, "updates").unionByName(of(s, "regulation_snapshots"))
 
 
 def reference_targets(spark: SparkSession, sf: str) -> DataFrame:
