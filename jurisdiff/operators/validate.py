@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jurisdiff.functions.text import is_ymd
-from jurisdiff.functions.values import APPROACHES, CHANGE_TYPES, LABEL_CHARS, RUN_STATUS, STATUS_ORDER, UPDATE_AXES
+from jurisdiff.functions.values import APPROACHES, AXES, CHANGE_TYPES, DIFF_KEYS, LABEL_CHARS, RUN_STATUS, STATUS_ORDER, UPDATE_AXES
 
 # Patterns and fields of the record schemas.
 UPDATE_ID = r"^\d{4}-\d{2}-\d{2}-[a-z]{2}-\d{3}$"
@@ -51,6 +51,49 @@ def snapshot_rules() -> list[tuple[str, str, Column]]:
     return rules
 
 
+# The fields of each kind of object in a regulation, those it must have, and texts that must not be empty.
+_AXIS_FIELDS = ("summary", "detail", "sources")
+_DATED_FIELDS, _TOPIC_FIELDS = ("date", "event", "source"), ("topic", "note", "source")
+_ROOT_REQUIRED = ("jurisdiction", "regulation_name", "status", "approach", "axes", "last_checked", "last_changed")
+
+
+def regulation_kinds() -> list[tuple[Column, tuple, tuple, tuple]]:
+    """(which occurrences, allowed fields, required fields, fields that must not be empty) of the objects below a regulation."""
+    node, axes, lists = F.col("node"), [f"axes.{a}" for a in AXES], [f"diff_vs_eu.{k}" for k in DIFF_KEYS]
+    return [
+        (node == "", (*_ROOT_REQUIRED, "is_baseline", "diff_vs_eu"), _ROOT_REQUIRED, ("regulation_name",)),
+        (node == "axes", (*AXES, "timeline"), (*AXES, "timeline"), ()), (node.isin(axes), _AXIS_FIELDS, _AXIS_FIELDS, ()),
+        (node == "axes.timeline", _DATED_FIELDS, _DATED_FIELDS, ("event",)), (node == "diff_vs_eu", tuple(DIFF_KEYS), tuple(DIFF_KEYS), ()), (node.isin(lists), _TOPIC_FIELDS, _TOPIC_FIELDS, ("topic",)),
+    ]
+
+
+def regulation_violations(bridge: DataFrame, objects: DataFrame) -> DataFrame:
+    """record_id, record_no, place, field, rule of every broken nested rule: required, unknown, minLength, pattern (of a timeline's date).
+
+    bridge and objects: of flatten_records. A rule looks at an object only, so
+    each distinct object is judged once for each kind of place it stands in, and
+    its faults are then given to all its occurrences. An entry that is no object
+    breaks ``type``; null and empty entries, which hold a position only, aren't looked at.
+    """
+    kinds = regulation_kinds()
+    kind = F.coalesce(*[F.when(there, F.lit(i)) for i, (there, *_) in enumerate(kinds)])
+    placed = bridge.where("filled").withColumn("kind", kind).where("kind is not null")
+    texts = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    fault = lambda fields, rule: F.transform(fields, lambda f: F.struct(f.alias("field"), F.lit(rule).alias("rule")))
+    keys = F.coalesce(F.json_object_keys("body"), F.array().cast("array<string>"))
+    found = []
+    for i, (_, allowed, required, filled) in enumerate(kinds):
+        empty = [F.when(F.get_json_object("body", f"$.{f}") == "", F.lit(f)) for f in filled]
+        faults = [fault(F.array_except(texts(required), keys), "required"), fault(F.array_except(keys, texts(allowed)), "unknown"), fault(F.array_compact(F.array(*empty)) if empty else texts([]), "minLength")]
+        if "date" in allowed:
+            date = F.get_json_object("body", "$.date")
+            faults.append(fault(F.array_compact(F.array(F.when(date.isNotNull() & ~is_ymd(date), F.lit("date")))), "pattern"))
+        odd = fault(texts([""]), "type")
+        found.append(F.when(F.col("kind") == i, F.when(F.startswith("body", F.lit("{")), F.concat(*faults)).otherwise(odd)))
+    judged = placed.select("kind", "object_id").distinct().join(objects, "object_id").select("kind", "object_id", F.explode(F.coalesce(*found)).alias("x"))
+    return placed.join(judged, ["kind", "object_id"]).select("record_id", "record_no", "place", "x.field", "x.rule")
+
+
 def violations(df: DataFrame, key: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
     """key, path, rule of every broken rule; all of a row's, in one pass over it."""
     broken = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(p).alias("path"), F.lit(r).alias("rule"))) for p, r, bad in rules])

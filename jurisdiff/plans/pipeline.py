@@ -272,8 +272,21 @@ QUERIES = {
 _strip = lambda c: rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '(?is)<script\b[^>]*>.*?</script>', '', 'g'), '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '<[^>]+>', ' ', 'g'), '{_B}+', ' ', 'g'))"""
 _FOLDS = {c: n for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]) if (n := unicodedata.normalize("NFKC", c)) != unicodedata.normalize("NFC", c)}
 _list = lambda xs: "['" + "', '".join(x.replace("'", "''") for x in xs) + "']"
+
+
+def _class_of(chars) -> str:
+    """A regular expression's class of characters, as ranges."""
+    out: list[list[int]] = []
+    for c in map(ord, chars):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
+
+
 #: The compatibility form in SQL, from the character data: each character by its own form, then all composed.
-_nfkc = lambda c: f"case when regexp_matches({c}, '[^\\x00-\\x7f]') then nfc_normalize(list_aggregate(list_transform(regexp_extract_all({c}, '(?s).'), lambda x: coalesce(map({_list(_FOLDS)}, {_list(_FOLDS.values())})[x], x)), 'string_agg', '')) else {c} end"
+_nfkc = lambda c: f"nfc_normalize(case when regexp_matches({c}, '{_class_of(_FOLDS)}') then list_aggregate(list_transform(regexp_extract_all({c}, '(?s).'), lambda x: coalesce(map({_list(_FOLDS)}, {_list(_FOLDS.values())})[x], x)), 'string_agg', '') else {c} end)"
 _sql_label = lambda c: rf"""substring(trim(regexp_replace(regexp_replace(regexp_replace({_nfkc(f"lower(coalesce({c}, ''))")}, 'https?://{_B.replace("[", "[^", 1)}+', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' +', ' ', 'g')), 1, 120)"""
 _normal = lambda source, key: rf"""a as (select {key}, url, regexp_replace(url, '#.*$', '') u from {source}),
 b as (select {key}, url, regexp_replace(regexp_replace(regexp_replace(u, '([?&])utm_source=[^&]*', '\1', 'g'), '([?&])utm_medium=[^&]*', '\1', 'g'), '([?&])utm_campaign=[^&]*', '\1', 'g') u from a),

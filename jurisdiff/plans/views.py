@@ -12,7 +12,7 @@ from jurisdiff.functions.text import first_truthy, format_minute, month_key
 from jurisdiff.functions.values import AXES, AXIS_LABELS, CHANGE_TYPE_LABELS, DIFF_KEYS, EMPTY_LIST, EMPTY_REPORT, EMPTY_SUMMARY, STATUS_LABELS
 from jurisdiff.operators.nested import regulation_nodes
 from jurisdiff.operators.ranking import rank_within
-from jurisdiff.operators.validate import exactly_one
+from jurisdiff.operators.validate import exactly_one, regulation_violations
 from jurisdiff.plans.general import _code, _term, flat_regulations
 from jurisdiff.plans.pipeline import AS_OF, _t
 
@@ -222,15 +222,21 @@ def diff_long(spark, sf):
 
 
 def validate_xor(spark, sf):
-    """Records in the current shape that aren't either the baseline or a comparison."""
-    r = _t(spark, sf, "regulation_raw").where("try_parse_json(payload) is not null and get_json_object(payload, '$.axes') is not null")
-    return exactly_one(r, F.get_json_object("payload", "$.is_baseline"), F.get_json_object("payload", "$.diff_vs_eu")).select("raw_id")
+    """Payloads with a record, of whatever shape, that isn't either the baseline or a comparison."""
+    bridge, objects = flat_regulations(spark, sf)
+    roots = bridge.where("place = ''").join(objects, "object_id")
+    return exactly_one(roots, F.get_json_object("body", "$.is_baseline"), F.get_json_object("body", "$.diff_vs_eu")).select(F.col("record_id").alias("raw_id")).distinct()
+
+
+def validate_regulations(spark, sf):
+    """Every broken rule of the nested parts of the records as received."""
+    return regulation_violations(*flat_regulations(spark, sf)).withColumnRenamed("record_id", "raw_id")
 
 
 QUERIES = {
     "latest_updates": latest_updates, "faceted_search": faceted_search, "search_by_month": search_by_month, "facet_values": facet_values, "update_labels": update_labels, "source_counts": source_counts, "source_union": source_union,
     "topic_join": topic_join, "country_report": country_report, "timeline": timeline, "timeline_years": timeline_years, "matrix_grid": matrix_grid, "matrix_literal": matrix_literal, "axis_unpivot": axis_unpivot,
-    "recent_markers": recent_markers, "status_bar": status_bar, "snapshot_countries": snapshot_countries, "month_groups": month_groups, "diff_counts": diff_counts, "diff_long": diff_long, "validate_xor": validate_xor,
+    "recent_markers": recent_markers, "status_bar": status_bar, "snapshot_countries": snapshot_countries, "month_groups": month_groups, "diff_counts": diff_counts, "diff_long": diff_long, "validate_xor": validate_xor, "validate_regulations": validate_regulations,
 }
 
 _U = f"u as (select * replace ({_code('country')} as country) from updates)"
@@ -268,6 +274,14 @@ select ord, lat, lng, recent, case when recent then 0.1::double else 0.05::doubl
 select regulation_id, {_pick("status", STATUS_LABELS, "status")} as label, strftime(t at time zone 'UTC', '%Y-%m-%d %H:%M UTC') seen from s""",
     "snapshot_countries": f"""with n as (select {_code("jurisdiction")} code, count(distinct regulation_id) n from regulation_snapshots group by 1) select c.code, coalesce(n, 0) regulations from (select distinct {_code("code")} code from country) c left join n using (code)""",
     "month_groups": """select date[1:7] as "month", row_key, cast(row_number() over (partition by date[1:7] order by date desc, row_key) as integer) place from updates""",
-    "validate_xor": """select raw_id from regulation_raw where json_valid(payload) and json_extract(case when json_valid(payload) then payload end, '$.axes') is not null
-  and (coalesce(json_extract(case when json_valid(payload) then payload end, '$.is_baseline')::varchar, 'null') = 'null') = (coalesce(json_extract(case when json_valid(payload) then payload end, '$.diff_vs_eu')::varchar, 'null') = 'null')""",
+    "validate_xor": """with recursive v as (
+  select raw_id, case when json_valid(ltrim(payload, chr(65279))) then ltrim(payload, chr(65279))::json end j from regulation_raw
+  union all
+  select raw_id, unnest(case when json_type(j) = 'ARRAY' then json_extract(j, '$[*]')
+    when json_type(j) = 'VARCHAR' then [case when json_valid(j ->> '$') and left(ltrim(j ->> '$'), 1) in ('{', '[') then (j ->> '$')::json end]
+    when not list_has_any(list_transform(json_keys(j), lambda k: replace(lower(k), '_', '')), ['axes', 'diffvseu']) then [coalesce(json_extract(j, '$.record'), json_extract(j, '$.data'), json_extract(j, '$.regulation'), json_extract(j, '$.payload'))] end)
+  from v where j is not null and json_type(j) in ('ARRAY', 'VARCHAR', 'OBJECT')
+), r as (select raw_id, j from v where json_type(j) = 'OBJECT' and (list_has_any(list_transform(json_keys(j), lambda k: replace(lower(k), '_', '')), ['axes', 'diffvseu']) or coalesce(json_extract(j, '$.record'), json_extract(j, '$.data'), json_extract(j, '$.regulation'), json_extract(j, '$.payload')) is null))
+select distinct raw_id from r where (coalesce(json_extract(j, '$.is_baseline'), json_extract(j, '$.isBaseline'), 'null')::varchar = 'null')
+  = (coalesce(json_extract(j, '$.diff_vs_eu'), json_extract(j, '$.diffVsEu'), 'null')::varchar in ('null', '""', '[]'))""",
 }

@@ -68,3 +68,16 @@ def test_normal_values(spark):
     assert [g[1] for g in got] == ["2024", None, None]
     assert got[0][2] == got[1][2] and got[2][2] == "?soon"
     assert [g[3] for g in got] == ["eu", None, None]
+
+
+def test_rounds_merge_what_neighbours_would():
+    import numpy as np
+
+    from jurisdiff.operators.history import _merge_rounds
+
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 3, 7, 64, 1000):
+        entity, a = np.sort(rnd.integers(0, 5, n)), rnd.integers(0, 2, n).astype(object)
+        new = np.r_[True, entity[1:] != entity[:-1]]
+        got = _merge_rounds(new, [a])
+        assert all(got[i] == (new[i] or a[i] != a[i - 1]) for i in range(1, n))

@@ -83,3 +83,19 @@ def test_a_record_can_be_rebuilt(record):
 def test_names_and_parsing():
     assert [snake(x) for x in ("diffVsEu", "diff_vs_eu", "GPAIObligations", "last-checked")] == ["diff_vs_eu", "diff_vs_eu", "gpai_obligations", "last_checked"]
     assert parse_json("[1") == (None, False) and parse_json("null") == (None, True) and len(AXES) == 6
+
+
+def test_nested_rules(spark):
+    from jurisdiff.operators.validate import regulation_violations
+
+    axis = {"summary": "s", "detail": "d", "sources": []}
+    good = {k: "x" for k in ("jurisdiction", "regulation_name", "status", "approach", "last_checked", "last_changed")} | {"axes": {a: axis for a in AXES} | {"timeline": [{"date": "2026-01-01", "event": "e", "source": "u"}]}, "diff_vs_eu": {k: [{"topic": "t", "note": "", "source": "u"}] for k in ("stricter", "looser", "absent", "unique")}}
+    bad = json.loads(json.dumps(good)) | {"regulation_name": "", "odd": 1}
+    del bad["status"], bad["axes"]["penalties"], bad["axes"]["transparency"]["detail"], bad["diff_vs_eu"]["unique"]
+    bad["axes"]["timeline"] = [{"date": "1 May", "event": "", "source": "u"}, None, {"event": "e", "when": 1}]
+    bad["diff_vs_eu"]["looser"] = [{"topic": "", "note": "", "source": "u"}, "text"]
+    df = spark.createDataFrame([(1, json.dumps(good)), (2, json.dumps(bad)), (3, None), (4, json.dumps(bad))], "id bigint, payload string")
+    got = {(r.record_id, r.place, r.field, r.rule) for r in regulation_violations(*flatten_records(df, "id", "payload", shape_regulation)).collect()}
+    want = {("", "regulation_name", "minLength"), ("", "odd", "unknown"), ("", "status", "required"), ("axes", "penalties", "required"), ("axes.transparency", "detail", "required"), ("diff_vs_eu", "unique", "required"), ("axes.timeline[0]", "date", "pattern"), ("axes.timeline[0]", "event", "minLength"),
+            ("axes.timeline[2]", "date", "required"), ("axes.timeline[2]", "source", "required"), ("axes.timeline[2]", "when", "unknown"), ("diff_vs_eu.looser[0]", "topic", "minLength"), ("diff_vs_eu.looser[1]", "", "type")}
+    assert got == {(i, *w) for i in (2, 4) for w in want}
