@@ -119,7 +119,10 @@ def subtree_rows(record_id, record, record_no: int = 0) -> tuple[list[tuple], di
 
 
 def flatten_records(df: DataFrame, record_id: str, payload: str, shape: Callable[[object], list]) -> tuple[DataFrame, DataFrame]:
-    """(bridge: record_id, record_no, place, parent_place, node, pos, filled, object_id; objects: object_id, body, occurrences), both stored.
+    """(bridge: record_id, record_no, place, parent_place, node, pos, filled, object_id; bodies: object_id, body), both stored.
+
+    A task passes each body on once, so of an object that several tasks met
+    there are as many equal rows; distinct_objects makes them one.
 
     shape: the parsed value -> the records in it, each in one uniform shape;
     record_no tells those of one payload apart. A payload that is null or no
@@ -145,10 +148,15 @@ def flatten_records(df: DataFrame, record_id: str, payload: str, shape: Callable
             yield pd.DataFrame(out, columns=names).astype({"record_id": "Int64", "record_no": "int32", "pos": "int64", "filled": "bool"})
 
     rows = materialize(df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(payload).alias("payload")).mapInPandas(run, _ROW_SCHEMA), "occurrences")
-    return rows.drop("body"), rows.groupBy("object_id").agg(F.min("body").alias("body"), F.count("*").alias("occurrences"))
+    return rows.drop("body"), rows.where("body is not null").select("object_id", "body")
+
+
+def distinct_objects(bridge: DataFrame, bodies: DataFrame) -> DataFrame:
+    """object_id, body, occurrences: every subtree once."""
+    return bodies.dropDuplicates(["object_id"]).join(bridge.groupBy("object_id").agg(F.count("*").alias("occurrences")), "object_id")
 
 
-def field_table(bridge: DataFrame, objects: DataFrame, node, fields: list[str]) -> DataFrame:
+def field_table(bridge: DataFrame, bodies: DataFrame, node, fields: list[str]) -> DataFrame:
     """record_id, record_no, place, parent_place, node, pos and the fields of the filled occurrences at some nodes.
 
     node: condition on the path. A field that is no text is given as JSON; an
@@ -157,7 +165,8 @@ def field_table(bridge: DataFrame, objects: DataFrame, node, fields: list[str])
     got = [F.get_json_object("body", f"$.{f}").alias(f) for f in fields]
     got[0] = F.coalesce(F.when(F.startswith("body", F.lit('"')), F.get_json_object(F.concat(F.lit("["), "body", F.lit("]")), "$[0]")), got[0]).alias(fields[0])
     there = bridge.where(F.col("filled") & node)
-    return there.join(objects, "object_id").select("record_id", "record_no", "place", "parent_place", "node", "pos", *got)
+    read = bodies.dropDuplicates(["object_id"]).select("object_id", *got)
+    return there.join(read, "object_id").select("record_id", "record_no", "place", "parent_place", "node", "pos", *fields)
 
 
 # The regulation record: the shape all deliveries are brought to.
@@ -223,10 +232,10 @@ AXIS_NODES = [f"axes.{a}" for a in AXES]
 ENTRY_NODES = [*(f"{a}.sources" for a in AXIS_NODES), "axes.timeline", *(f"diff_vs_eu.{d}" for d in DIFF_LISTS)]
 
 
-def regulation_nodes(bridge: DataFrame, objects: DataFrame) -> DataFrame:
+def regulation_nodes(bridge: DataFrame, bodies: DataFrame) -> DataFrame:
     """The child records of regulations: record_id, node, pos. An axis counts if the object it points to carries a summary text, an entry if it is filled."""
     summary = F.regexp_replace(F.get_json_object("body", "$.summary"), r"[\s\x{3000}\x{a0}]+", "")
-    telling = objects.where(F.length(summary) > 0).select("object_id")
+    telling = bodies.where(F.length(summary) > 0).select("object_id")
     axes = bridge.where(F.col("filled") & F.col("node").isin(AXIS_NODES)).join(telling, "object_id", "left_semi")
     entries = bridge.where(F.col("filled") & F.col("node").isin(ENTRY_NODES))
     return axes.select("record_id", "node", "pos").unionByName(entries.select("record_id", "node", "pos")).distinct()

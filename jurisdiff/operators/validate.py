@@ -67,10 +67,10 @@ def regulation_kinds() -> list[tuple[Column, tuple, tuple, tuple]]:
     ]
 
 
-def regulation_violations(bridge: DataFrame, objects: DataFrame) -> DataFrame:
+def regulation_violations(bridge: DataFrame, bodies: DataFrame) -> DataFrame:
     """record_id, record_no, place, field, rule of every broken nested rule: required, unknown, minLength, pattern (of a timeline's date).
 
-    bridge and objects: of flatten_records. A rule looks at an object only, so
+    bridge and bodies: of flatten_records. A rule looks at an object only, so
     each distinct object is judged once for each kind of place it stands in, and
     its faults are then given to all its occurrences. An entry that is no object
     breaks ``type``; null and empty entries, which hold a position only, aren't looked at.
@@ -90,7 +90,7 @@ def regulation_violations(bridge: DataFrame, objects: DataFrame) -> DataFrame:
             faults.append(fault(F.array_compact(F.array(F.when(date.isNotNull() & ~is_ymd(date), F.lit("date")))), "pattern"))
         odd = fault(texts([""]), "type")
         found.append(F.when(F.col("kind") == i, F.when(F.startswith("body", F.lit("{")), F.concat(*faults)).otherwise(odd)))
-    judged = placed.select("kind", "object_id").distinct().join(objects, "object_id").select("kind", "object_id", F.explode(F.coalesce(*found)).alias("x"))
+    judged = placed.select("kind", "object_id").distinct().join(bodies.dropDuplicates(["object_id"]), "object_id").select("kind", "object_id", F.explode(F.coalesce(*found)).alias("x"))
     return placed.join(judged, ["kind", "object_id"]).select("record_id", "record_no", "place", "x.field", "x.rule")
 
 

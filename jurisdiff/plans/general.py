@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jurisdiff.functions.codes import fold_width, norm_code, norm_instant, norm_term, trim_blanks
 from jurisdiff.operators.history import coalesce_history
-from jurisdiff.operators.nested import AXIS_NODES, DIFF_LISTS, field_table, flatten_records, regulation_nodes, shape_regulation
+from jurisdiff.operators.nested import AXIS_NODES, DIFF_LISTS, distinct_objects, field_table, flatten_records, regulation_nodes, shape_regulation
 from jurisdiff.operators.orphans import orphan_counts, orphan_rows
 from jurisdiff.session import spread
 
@@ -28,7 +28,7 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flat_regulations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(bridge, objects) of the regulation records as received."""
+    """(bridge, bodies) of the regulation records as received."""
     raw = spread(spark.read.parquet(f"{sf}/regulation_raw.parquet").select("raw_id", "payload"))
     return flatten_records(raw, "raw_id", "payload", shape_regulation)
 
@@ -40,7 +40,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p2_objects(spark: SparkSession, sf: str) -> DataFrame:
     """The distinct subtrees of all records and how often each occurs."""
-    return flat_regulations(spark, sf)[1]
+    return distinct_objects(*flat_regulations(spark, sf))
 
 
 def p2_bridge(spark: SparkSession, sf: str) -> DataFrame:

@@ -223,8 +223,8 @@ def diff_long(spark, sf):
 
 def validate_xor(spark, sf):
     """Payloads with a record, of whatever shape, that isn't either the baseline or a comparison."""
-    bridge, objects = flat_regulations(spark, sf)
-    roots = bridge.where("place = ''").join(objects, "object_id")
+    bridge, bodies = flat_regulations(spark, sf)
+    roots = bridge.where("place = ''").join(bodies.dropDuplicates(["object_id"]), "object_id")
     return exactly_one(roots, F.get_json_object("body", "$.is_baseline"), F.get_json_object("body", "$.diff_vs_eu")).select(F.col("record_id").alias("raw_id")).distinct()
 
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from jurisdiff.operators.nested import AXES, MAX_DEPTH, field_table, flatten_records, parse_json, regulation_nodes, shape_regulation, snake, subtree_rows
+from jurisdiff.operators.nested import AXES, MAX_DEPTH, distinct_objects, field_table, flatten_records, parse_json, regulation_nodes, shape_regulation, snake, subtree_rows
 
 AXIS = {"summary": "s", "sources": ["u", "", None, {"url": "v"}], "review": {"by": "x", "marks": [1]}}
 BASE = {"axes": {"transparency": AXIS, "penalties": "text", "prohibited_uses": {"summary": " "}, "timeline": {"date": "d"}}, "diff_vs_eu": {"stricter": [{}, {"topic": "t"}], "looser": None}}
@@ -37,7 +37,8 @@ def test_no_records(spark):
 
 def test_equal_objects_are_stored_once(spark):
     df = spark.createDataFrame([(1, json.dumps(BASE)), (2, json.dumps(BASE, indent=2)), (3, json.dumps(dict(reversed(BASE.items()))))], "id bigint, payload string")
-    bridge, objects = flatten_records(df, "id", "payload", shape_regulation)
+    bridge, bodies = flatten_records(df, "id", "payload", shape_regulation)
+    objects = distinct_objects(bridge, bodies)
     assert bridge.where("parent_place is null").select("object_id").distinct().count() == 1
     stored = {r.object_id: r for r in objects.collect()}
     assert all(r.occurrences % 3 == 0 for r in stored.values()) and len({r.body for r in stored.values()}) == len(stored)

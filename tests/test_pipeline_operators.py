@@ -209,3 +209,19 @@ def test_retry():
     answers[:] = [ValueError(), ValueError()]
     with pytest.raises(ValueError):
         catalog.with_retry(call, sleep=waits.append)
+
+
+def test_state_table(spark, tmp_path, monkeypatch):
+    from jurisdiff.streaming.incremental import StateTable
+
+    monkeypatch.setattr(StateTable, "COMPACT", 3)
+    t, state = StateTable(spark, str(tmp_path / "state"), "url string, hash string"), {}
+    for b in range(0, 9):
+        assert {tuple(r) for r in t.read(b).collect()} == set(state.items()), b
+        again = dict(state)
+        state |= {f"u{b % 7}": f"h{b}", f"n{b // 3}": None if b % 3 else "x"}
+        for _ in range(2 if b in (2, 3) else 1):  # a batch that runs again gives the same
+            t.write(spark.createDataFrame(sorted(state.items(), key=str), "url string, hash string").coalesce(1), b)
+            assert {tuple(r) for r in t.read(b).collect()} == set(again.items())
+    kept = sorted(p.name for p in (tmp_path / "state").iterdir())
+    assert kept == ["d4", "d5", "d7", "d8", "w3", "w6"] and spark.read.parquet(str(tmp_path / "state" / "d8")).count() == 2
