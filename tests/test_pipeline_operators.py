@@ -224,4 +224,4 @@ def test_state_table(spark, tmp_path, monkeypatch):
             t.write(spark.createDataFrame(sorted(state.items(), key=str), "url string, hash string").coalesce(1), b)
             assert {tuple(r) for r in t.read(b).collect()} == set(again.items())
     kept = sorted(p.name for p in (tmp_path / "state").iterdir())
-    assert kept == ["d4", "d5", "d7", "d8", "w3", "w6"] and spark.read.parquet(str(tmp_path / "state" / "d8")).count() == 2
+    assert kept == ["d4", "d5", "d7", "d8", "w3", "w6"] and spark.read.parquet(str(tmp_path / "state" / "d8")).count() == 1
