@@ -81,11 +81,11 @@ def normalize_url(c: Column) -> Column:
     for p in TRACKING:
         bare = F.regexp_replace(bare, rf"([?&]){p}=[^&]*", "$1")
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, "&&+", "&"), r"\?&", "?"), "[?&]$", "")
-    origin = F.lower(F.regexp_extract(bare, r"^(?i)(https?://[^/?]+)", 1))
-    port = F.regexp_replace(F.regexp_replace(origin, "^(http://[^/]*):80$", "$1"), "^(https://[^/]*):443$", "$1")
-    rest = F.regexp_replace(bare, r"^(?i)https?://[^/?]+", "")
-    path = F.when(rest == "", "/").when(rest.startswith("?"), F.concat(F.lit("/"), rest)).otherwise(rest)
-    return F.when(bare.rlike(r"^(?i)https?://[^/?]+"), F.concat(port, path)).otherwise(c)
+    once = lambda c, f: F.element_at(F.transform(F.array(c), f), 1)  # noqa: E731 - a value used several times is computed once
+    port = lambda o: F.regexp_replace(F.regexp_replace(o, "^(http://[^/]*):80$", "$1"), "^(https://[^/]*):443$", "$1")
+    path = lambda rest: F.when(rest == "", "/").when(rest.startswith("?"), F.concat(F.lit("/"), rest)).otherwise(rest)
+    whole = lambda b, o: F.when(o != "", F.concat(port(o), once(F.substring(b, F.length(o) + 1, F.length(b)), path)))
+    return F.coalesce(once(bare, lambda b: once(F.lower(F.regexp_extract(b, r"^(?i)(https?://[^/?]+)", 1)), lambda o: whole(b, o))), c)
 
 
 def resolve_url(href: Column, base: Column) -> Column:

@@ -48,8 +48,8 @@ def normalize_url_q(spark, sf):
 
 def url_first_wins(spark, sf):
     """The update that names each source, in its normal form, first."""
-    u = _t(spark, sf, "updates").select("row_key", F.posexplode("sources").alias("pos", "source"))
-    kept, _ = first_per_url(u.select("row_key", normalize_url(F.col("source")).alias("url"), F.struct("row_key", "pos").alias("seq")))
+    u = _t(spark, sf, "updates").select("row_key", F.posexplode(F.transform("sources", normalize_url)).alias("pos", "url"))
+    kept, _ = first_per_url(u.select("row_key", "url", F.struct("row_key", "pos").alias("seq")))
     return kept.select("url", "row_key")
 
 
