@@ -207,7 +207,7 @@ def site_sources(spark, sf):
 def site_reports(spark, sf):
     """The text to copy from every country's page, word for word; the baseline has none."""
     c = _countries(spark, sf).withColumn("name_ja", first_truthy(F.col("name_ja"), F.col("code")))
-    return site.copy_reports(c, _regulations(spark, sf), F.concat(F.lit("※自動要約 https://atlas.example/country/"), F.col("code"), F.lit("/")))
+    return site.copy_reports(c, _regulations(spark, sf), F.concat(F.lit("※自動要約 https://tracker.example/country/"), F.col("code"), F.lit("/")))
 
 
 def site_markers(spark, sf):
@@ -223,7 +223,7 @@ def country_count(spark, sf):
 
 def page_paths(spark, sf):
     """Address of every country's page below the site's base."""
-    return _countries(spark, sf).select("ord", site.page_path("/atlas/", F.concat(F.lit("/country/"), "code", F.lit("/"))).alias("path"))
+    return _countries(spark, sf).select("ord", site.page_path("/base/", F.concat(F.lit("/country/"), "code", F.lit("/"))).alias("path"))
 
 
 def _label_text(df):
@@ -344,11 +344,11 @@ select code, cast(pos as integer) pos, "date", "event", "date" > '{AS_OF}' is_fu
     "site_sizes": f"with {_C} select code jurisdiction, {', '.join(f'cast({_size(i)} as integer) as "{k}"' for i, k in enumerate(DIFF_KEYS))} from r",
     "site_sources": f"with {_C}, {_ENTRIES}, {_SEEN} select r.code jurisdiction, coalesce(f.sources, '') sources from r left join {_first_seen('true')} f using (code)",
     "site_reports": f"""with {_C}, {_ENTRIES}, {_SEEN} select code, '【' || name || 'のAI規制とEU AI Actの差分】' || strftime(added_at at time zone 'UTC', '%Y-%m-%d') || '時点' || chr(10) || '規制名: Act ' || ord || '（状態: ' || {_state} || '）' || chr(10)
-  || {" || chr(10) || ".join(f"'■ {DIFF_LABELS[k]}: ' || {_topics(i, k)}" for i, k in enumerate(DIFF_KEYS))} || chr(10) || '出典: ' || coalesce(sources, '') || chr(10) || '※自動要約 https://atlas.example/country/' || code || '/' report
+  || {" || chr(10) || ".join(f"'■ {DIFF_LABELS[k]}: ' || {_topics(i, k)}" for i, k in enumerate(DIFF_KEYS))} || chr(10) || '出典: ' || coalesce(sources, '') || chr(10) || '※自動要約 https://tracker.example/country/' || code || '/' report
 from r left join {_first_seen('q >= 3000')} f using (code) where ord <> 0""",
     "site_markers": f"with {_C} select ord, ord % 2 = 0 recent, case when ord % 2 = 0 then 0.1::double else 0.05::double end size from r",
     "country_count": "select count(distinct ord) countries from country",
-    "page_paths": f"with {_C} select ord, '/atlas/country/' || code || '/' path from c",
+    "page_paths": f"with {_C} select ord, '/base/country/' || code || '/' path from c",
     "work_queue": f"""select 'Difference changed: ' || coalesce(country, '-') || ' ' || coalesce(title, '') title, coalesce(impact.diff_note, '{EMPTY_REPORT}') body, 'diff-change' labels from updates where batch_no >= 1 and impact.diff_changed
 union all select 'Status would step back: c' || row_key, 'draft', 'needs-review' from updates where row_key % 9 = 0
 union all select 'Failed: ' || ('{_SITE}/' || repeat('x', 90) || row_key)[1:80], 'HTTP ' || row_key, 'needs-review' from updates where row_key % 11 = 0""",
