@@ -48,6 +48,9 @@ TELL_POWER = 3
 SHARED_ITEMS = 0.05
 #: Postings a segment holds at least, unless its task has no more documents.
 SEGMENT_POSTINGS = 1 << 20
+#: How the index is stored: a segment a row group, as a reader, like the writer, holds a row group in memory; by size alone a writer of Parquet looks every 100 rows only.
+#: Without statistics and dictionaries: the writer would keep the least and the greatest list of postings of every row group until its file ends.
+ONE_BY_ONE = {"parquet.block.row.count.limit": "1", "parquet.column.statistics.enabled": "false", "parquet.enable.dictionary": "false"}
 #: Characters of items searched at once, which bounds what is sent to every executor.
 BLOCK_CHARS = 8_000_000
 
@@ -421,6 +424,6 @@ def find_leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, i
     Null and empty texts hold nothing; repeated documents each count. An empty
     corpus or evaluation set gives no rows.
     """
-    index = materialize(build_index(documents, doc_id, text), "index")
+    index = materialize(build_index(documents, doc_id, text), "index", ONE_BY_ONE)
     counted = index.agg(F.coalesce(F.sum(F.size("doc_ids")), F.lit(0))).first()[0]
     return search_index(index, counted, items, item_id, item_text)

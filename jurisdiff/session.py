@@ -54,15 +54,15 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it.
+def materialize(df: DataFrame, tag: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, with these options of the writer, and return a scan of it.
 
     Unlike a local checkpoint the table survives the loss of any executor, and
     unlike ``checkpoint()`` it is columnar, so later reads prune columns.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/jurisdiff-{os.getpid()}-{uuid.uuid4().hex[:12]}/{tag}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    df.write.mode("errorifexists").options(**(options or {})).option("compression", "zstd").parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 
 from jurisdiff.llm import leaks as L
+from jurisdiff.session import materialize
 
 rnd = random.Random(11)
 _NAMES = ["".join(rnd.choice(["ba", "ko", "ri", "ste", "lu", "mo", "na", "tir"]) for _ in range(4)) for _ in range(400)]
@@ -83,3 +85,15 @@ def test_exact_passage_beside_a_longer_chain_with_other_names(spark):
     items = spark.createDataFrame([(i, EN[i]) for i in range(5)], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in L.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items, "item_id", "text").collect()}
     assert got == {(i, i) for i in range(5)}
+
+
+def test_a_segment_a_row_group(spark, monkeypatch):
+    """Whoever writes or reads the index holds a row group in memory, so each is one segment, however many a task makes."""
+    kept = []
+    monkeypatch.setattr(L, "materialize", lambda *a: kept.append(materialize(*a)) or kept[-1])
+    docs = spark.createDataFrame([(i, FILL * 2000 + EN[i % 20]) for i in range(70)], "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(EN)], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in L.find_leaks(docs, "doc_id", "text", items, "item_id", "text").collect()} == {(i, i % 20) for i in range(70)}
+    held = [pq.read_metadata(f.removeprefix("file://")) for f in kept[0].inputFiles()]
+    assert sum(m.num_rows for m in held) >= 2 and all(m.num_row_groups == m.num_rows for m in held)
+    assert not any(m.row_group(g).column(c).is_stats_set for m in held for g in range(m.num_row_groups) for c in range(m.num_columns))  # a writer keeps these until its file ends
