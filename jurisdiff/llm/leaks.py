@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,8 @@ TELL_POWER = 3
 SHARED_ITEMS = 0.05
 #: Postings a segment holds at least, unless its task has no more documents.
 SEGMENT_POSTINGS = 1 << 20
+#: Characters of documents cut into terms at once, unless a single one has more.
+CHUNK_CHARS = 1 << 18
 #: How the index is stored: a segment a row group, as a reader, like the writer, holds a row group in memory; by size alone a writer of Parquet looks every 100 rows only.
 #: Without statistics and dictionaries: the writer would keep the least and the greatest list of postings of every row group until its file ends.
 ONE_BY_ONE = {"parquet.block.row.count.limit": "1", "parquet.column.statistics.enabled": "false", "parquet.enable.dictionary": "false"}
@@ -57,14 +61,11 @@ BLOCK_CHARS = 8_000_000
 # Han, Kana and other letters written without blanks.
 _DENSE = "぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿가-힣々〆"
 _TERM = re.compile(f"([{_DENSE}]+)|[^\\W_{_DENSE}]+")
-_WORD = re.compile(r"[^\W_]+")
-_ANY_DENSE = re.compile(f"[{_DENSE}]")
-_PARTS = re.compile(f"([{_DENSE}]+)|([^\\W_{_DENSE}]+)")
-# Layout and markup that can stand inside a passage.
-_HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑­]\s*\n[\s>|]*(?=[^\W\d_])")
+# Layout and markup that can stand inside a passage. Each pattern begins with what is searched for by table.
+_HYPHEN = re.compile(r"[-‐‑­](?<=[^\W\d_].)\s*\n[\s>|]*(?=[^\W\d_])")
 _QUOTED = re.compile(r"\n[ \t]*[>|]+")
 _TAGS = re.compile(r"<[/!a-zA-Z][^<>]{0,200}>")
-_MARKS = re.compile(r"\*+|__+|~~|`+")
+_MARKS = re.compile(r"\*\**|__+|~~|``*")
 
 
 def plain(text: str) -> str:
@@ -113,30 +114,62 @@ def terms_of(text: str) -> tuple[list[str], list[int], list[int]]:
     return terms, at, offsets
 
 
+class Numbers(dict):
+    """Numbers of terms: a new one gets the next. A term of a text without blanks stands as the codes of its three characters, 21 bits each."""
+
+    def __missing__(self, term: str | int) -> int:
+        n = self[term] = len(self)
+        return n
+
+    def names(self) -> list[str]:
+        """The terms as texts, by their numbers."""
+        return [t if isinstance(t, str) else chr(t >> 42) + chr(t >> 21 & 0x1FFFFF) + chr(t & 0x1FFFFF) for t in self]
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Of every character: 1 part of a word, 2 written without blanks, 0 neither."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    kinds = np.frombuffer(bytes(map(str.isalnum, every)), np.uint8).copy()
+    kinds[np.frombuffer("".join(re.findall(f"[{_DENSE}]+", every)).encode("utf-32-le", "surrogatepass"), np.uint32)] = 2
+    return kinds
+
+
+def chunk_terms(texts: list[str], number: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(which text, number of the term, its position) of each term of some texts, and how many positions each text has; terms_of for many at once.
+
+    Words come first, then terms of texts without blanks, each kind in reading order.
+    """
+    clean = [plain(t) for t in texts]
+    codes = np.frombuffer("\n".join(clean).encode("utf-32-le"), np.uint32)
+    kinds = _kinds()[codes]
+    in_word = kinds == 1
+    begins = in_word.copy()
+    begins[1:] &= ~in_word[:-1]
+    places = np.flatnonzero(begins | (kinds == 2))
+    ends = np.cumsum([len(t) + 1 for t in clean])
+    first = np.searchsorted(places, np.r_[0, ends[:-1]])
+    lengths = np.diff(first, append=len(places))
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    at = (np.arange(len(places)) - np.repeat(first, lengths)).astype(np.int32)
+    dense = kinds[places] == 2
+    words = np.where(in_word, codes, 32).astype(np.uint32).tobytes().decode("utf-32-le").split()
+    numbers = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+    if not dense.any():
+        return of, numbers, at, lengths
+    k = np.flatnonzero(dense[:-2] & dense[1:-1] & dense[2:] & (of[:-2] == of[2:]))
+    c = codes[places].astype(np.int64)
+    grams = (c[k] << 42 | c[k + 1] << 21 | c[k + 2]).tolist()
+    order = np.r_[np.flatnonzero(~dense), k]
+    return of[order], np.r_[numbers, np.fromiter(map(number.__getitem__, grams), np.int32, len(grams))], at[order], lengths
+
+
 def numbered_terms(text: str, number: dict[str, int]) -> tuple[list[int], list[int], int]:
     """(numbers of the terms of a text, their positions, how many positions it has); terms_of in numbers, new terms get the next ones."""
-    text = plain(text)
-    new = number.setdefault
-    if not _ANY_DENSE.search(text):
-        terms = [new(w, len(number)) for w in _WORD.findall(text)]
-        return terms, list(range(len(terms))), len(terms)
-    terms: list[int] = []
-    at: list[int] = []
-    run, pos = "", 0
-    for part, word in [*_PARTS.findall(text), ("", "")]:
-        if part:
-            run += part
-            continue
-        if run:
-            terms += [new(a + b + c, len(number)) for a, b, c in zip(run, run[1:], run[2:])]
-            at.extend(range(pos, pos + len(run) - 2))
-            pos += len(run)
-            run = ""
-        if word:
-            terms.append(new(word, len(number)))
-            at.append(pos)
-            pos += 1
-    return terms, at, pos
+    own = Numbers()
+    _, terms, at, lengths = chunk_terms([text], own)
+    names, order = own.names(), np.argsort(at, kind="stable")
+    return [number.setdefault(names[t], len(number)) for t in terms[order].tolist()], at[order].tolist(), int(lengths[0])
 
 
 class Items:
@@ -189,29 +222,37 @@ class Items:
         self.anchors = {t: sorted(v) for t, v in chosen.items()}
 
 
-def _extend(doc: dict[int, int], seq: list[int], d: int, i: int, step: int, dense: bool) -> list[tuple[int, int]]:
+def _extend(doc: list[int], seq: list[int], d: int, i: int, step: int, dense: bool) -> list[tuple[int, int]]:
     """Matched (document, item) positions from (d, i) on in one direction, each the nearest continuation of the one before.
 
     Misses cost more than matches gain, so chance matches beyond the passage are cut.
     """
     out = []
-    get, reach = doc.get, MAX_GAP + 1
+    reach = MAX_GAP + 1
+    ends, ended = (len(doc), len(seq)) if step > 0 else (-1, -1)
     best = keep = score = 0
-    while True:
-        ahead = seq[i + 1 : i + 1 + reach] if step > 0 else seq[max(0, i - reach) : i][::-1]
-        there = [get(p, -2) for p in range(d + step, d + step * (reach + 1), step)]
-        met = set(there).intersection(ahead)
-        if not met:
-            return out[:keep]
-        _, di, dd = min((there.index(t) + k, k, there.index(t)) for k, t in enumerate(ahead, 1) if t in met)
-        hit = (d + step * (dd + 1), i + step * di)
-        out.append(hit)
-        score += 1 - (1.2 if dense else 3.0) * (abs(hit[1] - i) - 1)
+    while d + step != ends and i + step != ended:
+        k, j = 1, 0
+        if doc[d + step] != seq[i + step]:
+            ahead = seq[i + 1 : i + 1 + reach] if step > 0 else seq[max(0, i - reach) : i][::-1]
+            there = doc[d + 1 : d + 1 + reach] if step > 0 else doc[max(0, d - reach) : d][::-1]
+            met = set(there).intersection(ahead)
+            if not met:
+                break
+            least = 2 * reach
+            for n, t in enumerate(ahead, 1):
+                if n >= least:
+                    break
+                if t in met and (m := there.index(t)) + n < least:
+                    least, k, j = m + n, n, m
+        d, i = d + step * (j + 1), i + step * k
+        out.append((d, i))
+        score += 1 - (1.2 if dense else 3.0) * (k - 1)
         if score >= best:
             best, keep = score, len(out)
         elif score < best - (24 if dense else 12):
-            return out[:keep]
-        d, i = hit
+            break
+    return out[:keep]
 
 
 def _holds_exact(path: list[tuple[int, int]], item: dict) -> bool:
@@ -233,7 +274,9 @@ def _holds_exact(path: list[tuple[int, int]], item: dict) -> bool:
 
 def passages(terms: list[int], positions: list[int], items: Items) -> list[tuple[int, int]]:
     """(item, length of the longest passage that counts, in the item's own measure) for each item of which the document holds one."""
-    doc = dict(zip(positions, terms))
+    doc = [-2] * (max(positions, default=-1) + 1)  # -2: a term of no item
+    for p, t in zip(positions, terms):
+        doc[p] = t
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for p, t in zip(positions, terms):
         for k, i in items.anchors.get(t, ()):
@@ -275,16 +318,17 @@ SEGMENT = pa.schema([("doc_ids", pa.list_(pa.int64())), ("terms", pa.list_(pa.st
 _SEGMENT_SQL = "doc_ids array<bigint>, terms array<string>, holders array<int>, starts binary, docs binary, positions binary"
 
 
-def _segment(ids: list[int], sizes: list[int], terms: np.ndarray, positions: np.ndarray, number: dict[str, int]) -> pa.RecordBatch:
-    """The inverted index of some documents, given as their terms in reading order; docs and starts are coded as differences."""
-    names = np.array(list(number), dtype=object)
+def _segment(ids: list[int], docs: np.ndarray, terms: np.ndarray, positions: np.ndarray, number: Numbers) -> pa.RecordBatch:
+    """The inverted index of some documents, given as their terms, each term's in reading order; docs and starts are coded as differences."""
+    names = np.array(number.names(), dtype=object)
     order = np.argsort(names)
     rank = np.empty(len(names), np.int64)
     rank[order] = np.arange(len(names))
-    of = rank[terms]
-    docs = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-    by_term = np.argsort(of, kind="stable")
-    of, docs, positions = of[by_term], docs[by_term], positions[by_term]
+    by_term = rank[terms] << 32 | np.arange(len(terms))  # a plain sort of these numbers is several times faster than a stable one by term
+    by_term.sort()
+    of = by_term >> 32
+    by_term &= 0xFFFFFFFF
+    docs, positions = docs[by_term], positions[by_term]
     starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])  # every numbered term occurs
     new_doc = np.r_[True, (docs[1:] != docs[:-1]) | (of[1:] != of[:-1])]
     holders = np.add.reduceat(new_doc, starts, dtype=np.int32)
@@ -298,18 +342,28 @@ def build_index(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
-        sizes: list[int] = []
-        tt: list[np.ndarray] = []
-        pp: list[np.ndarray] = []
-        number: dict[str, int] = {}
-        held = 0
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        chunk: list[tuple[int, str]] = []
+        number = Numbers()
+        held = chars = 0
+
+        def cut() -> None:
+            """Add the documents of the chunk to the segment."""
+            nonlocal held, chars
+            of, terms, at, _ = chunk_terms([s for _, s in chunk], number)
+            has = np.bincount(of, minlength=len(chunk)) > 0
+            parts.append(((np.cumsum(has) - 1 + len(ids)).astype(np.int32)[of], terms, at))
+            ids.extend(d for (d, _), h in zip(chunk, has.tolist()) if h)
+            held += len(terms)
+            chars = 0
+            chunk.clear()
 
         def done() -> pa.RecordBatch:
             nonlocal held, number
-            row = _segment(ids, sizes, np.concatenate(tt), np.concatenate(pp), number)
-            for x in (ids, sizes, tt, pp):
-                x.clear()
-            number, held = {}, 0
+            row = _segment(ids, *(np.concatenate(x) for x in zip(*parts)), number)
+            ids.clear()
+            parts.clear()
+            number, held = Numbers(), 0
             return row
 
         for batch in batches:
@@ -317,15 +371,14 @@ def build_index(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
                 s = s.as_py()
                 if d is None or not s:
                     continue
-                terms, at, _ = numbered_terms(s, number)
-                if terms:
-                    ids.append(d)
-                    sizes.append(len(terms))
-                    tt.append(np.array(terms, np.int32))
-                    pp.append(np.array(at, np.int32))
-                    held += len(terms)
-                if held >= SEGMENT_POSTINGS:
-                    yield done()
+                chunk.append((d, s))
+                chars += len(s)
+                if chars >= CHUNK_CHARS:
+                    cut()
+                    if held >= SEGMENT_POSTINGS:
+                        yield done()
+        if chunk:
+            cut()
         if held:
             yield done()
 

@@ -55,6 +55,17 @@ def test_fast_path_equals_the_plain_one():
             assert [names[k] for k in got] == terms and places == at and length == len(offsets)
 
 
+def test_texts_cut_together_equal_each_alone():
+    """Also where a word or a run without blanks ends one text and begins the next; empty texts and such without a term between."""
+    texts = [t or "" for t, _ in DOCS.values()] + ["許可", "審判所", "word", "Word two", "…", "ab\u3000仝蟇", "丼a爻。驫ヾ亜", "İstanbul STRASSE ß_x ４２", ""]
+    number = L.Numbers()
+    of, terms, at, lengths = L.chunk_terms(texts, number)
+    names = number.names()
+    for k, t in enumerate(texts):
+        plain_terms, plain_at, offsets = L.terms_of(t)
+        assert sorted(zip(at[of == k].tolist(), [names[x] for x in terms[of == k]])) == sorted(zip(plain_at, plain_terms)) and lengths[k] == len(offsets)
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame(ITEMS[:3], "item_id bigint, text string")
     some = spark.createDataFrame([(1, EN[0])], "doc_id bigint, text string")
