@@ -145,3 +145,12 @@ def test_empty_and_null(spark):
     assert P.repeated_in_batches(points_of(df, x, model)).count() == 0
     some = [(1, 0, "eu", None, None), (2, 1, "eu", "", None), (3, 1, None, "x", "x"), (4, 0, "eu", "three odd words", None), (5, 1, "eu", "three odd words now", None), (6, 1, "eu", "other", "x" * 100_000), (7, 2, "eu", "three odd word", None), (8, None, "eu", "late words", None), (9, 3, "eu", "words late", None)]
     assert rows(P.repeated_in_batches(points_of(spark.createDataFrame(some, df.schema), x, model))) == {(4, 5), (8, 9)}
+
+
+def test_marks_of_latin_letters_are_searched_for():
+    """By one class of characters; every character comes out as by the table."""
+    every = [chr(c) for c in range(0x80, 0x3000)]
+    assert {c for c in every if E._MARKED_LATIN.search(c)} == {c for c in every if ord(c) in E._PLAIN_LATIN}
+    for c in every:
+        s = E.canonical(f"a{c}b").casefold()
+        assert E.folded(f"a{c}b") == s.translate(E._PLAIN_LATIN)

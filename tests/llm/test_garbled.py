@@ -1,5 +1,8 @@
 """Garbled text: what is found, what is restored, what is left alone."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +87,19 @@ def test_pair_table_is_bounded(spark):
     counts = G.pair_counts(spark.createDataFrame([("abab",), ("",), (None,), ("ab",)], "s string")).collect()
     assert {(chr(r.pair >> 21), chr(r.pair & 0x1FFFFF)): r.n for r in counts}[("a", "b")] == 3
     assert F is not None and 1 / G.PAIR_SHARE <= 1_000_000
+
+
+@pytest.mark.parametrize("reader", ["western", "mac", "cyrillic"])
+def test_marks_of_a_wrong_decoding_begin_with_one_class(reader):
+    """Lead bytes are searched for by table, and all that two alternatives would find is found."""
+    inv = {}
+    for c, b in G._byte_of(reader).items():
+        inv[b] = inv.get(b, "") + c
+    lead2, lead3, rest = (re.escape("".join(inv.get(b, "") for b in range(lo, hi + 1))) for lo, hi in ((0xC2, 0xDF), (0xE0, 0xEF), (0x80, 0xBF)))
+    plain = re.compile(f"[{lead2}][{rest}]|[{lead3}][{rest}]{{2}}")
+    assert f"[{rest}]|[" not in G._utf8_as(reader).pattern  # no branch at the start
+    letters = "".join(inv.values()) + "ab "
+    pick = random.Random(5)
+    for _ in range(3000):
+        s = "".join(pick.choice(letters) for _ in range(30))
+        assert G._utf8_as(reader).findall(s) == plain.findall(s)
